@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinlink.llm import lines, simhash
+from kinlink.llm import decontam, lines, packing, simhash, spans, tokenfile
 from kinlink.llm.common import table
 
 
@@ -23,7 +23,31 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_simhash_near_dedup)}
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), min_match=5, min_coverage=0.8)
+    return out.select("doc_id", "item_id", "matched", "item_tokens", "coverage", F.size("tiles").cast("long").alias("n_tiles"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = spans.dedup_spans(table(spark, sf_dir, "documents"), min_sentences=3, min_words=20)
+    return out.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), seq_len=1024, end_id=0)
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_simhash_near_dedup, op3_benchmark_decontamination, op5_substring_dedup, op7_packing, op10_token_files)}
 
 ORACLES = {
     "op1_line_dedup": r"""
