@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinlink.llm import decontam, lines, packing, simhash, spans, tokenfile
+from kinlink.llm import decontam, langid, lines, packing, simhash, spans, tokenfile
 from kinlink.llm.common import table
 
 
@@ -28,6 +28,13 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return out.select("doc_id", "item_id", "matched", "item_tokens", "coverage", F.size("tiles").cast("long").alias("n_tiles"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    out = langid.predict(docs, langid.train(docs, ~held_out))
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = spans.dedup_spans(table(spark, sf_dir, "documents"), min_sentences=3, min_words=20)
     return out.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -47,7 +54,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_simhash_near_dedup, op3_benchmark_decontamination, op5_substring_dedup, op7_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_simhash_near_dedup, op3_benchmark_decontamination, op4_language_id, op5_substring_dedup, op7_packing, op10_token_files)}
 
 ORACLES = {
     "op1_line_dedup": r"""
