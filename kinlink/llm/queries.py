@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinlink.llm import decontam, langid, lines, packing, simhash, spans, tokenfile
+from kinlink.llm import decontam, katz, langid, lines, packing, simhash, spans, tokenfile
 from kinlink.llm.common import table
 
 
@@ -50,11 +50,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), seq_len=1024, end_id=0)
 
 
+def op8_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 != 0, F.lit(True))
+    out = katz.score(table(spark, sf_dir, "documents"), fold)
+    return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_simhash_near_dedup, op3_benchmark_decontamination, op4_language_id, op5_substring_dedup, op7_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_simhash_near_dedup, op3_benchmark_decontamination, op4_language_id, op5_substring_dedup, op7_packing, op8_katz_backoff, op10_token_files)}
 
 ORACLES = {
     "op1_line_dedup": r"""
