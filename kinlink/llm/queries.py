@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinlink.llm import decontam, katz, langid, lines, packing, simhash, spans, tokenfile
+from kinlink.llm import decontam, katz, langid, licenses, lines, packing, quality, simhash, spans, tokenfile
 from kinlink.llm.common import table
 
 
@@ -46,6 +46,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), seq_len=1024, end_id=0)
 
@@ -56,11 +61,16 @@ def op8_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_simhash_near_dedup, op3_benchmark_decontamination, op4_language_id, op5_substring_dedup, op7_packing, op8_katz_backoff, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_simhash_near_dedup, op3_benchmark_decontamination, op4_language_id, op5_substring_dedup, op6_quality_rules, op7_packing, op8_katz_backoff, op9_license_scan, op10_token_files)}
 
 ORACLES = {
     "op1_line_dedup": r"""
@@ -69,4 +79,34 @@ k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) ||
 hot AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(hot.key) AS n_dropped, sha256(coalesce(string_agg(CASE WHEN hot.key IS NULL THEN line END, chr(10) ORDER BY i), '')) AS kept_sha256
 FROM k LEFT JOIN hot USING (key) GROUP BY doc_id""",
+    "op6_quality_rules": rf"""
+WITH w AS (SELECT d.doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents d),
+g AS (SELECT doc_id, i, list_slice(words, i, i + 4) AS window_words FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w)),
+r AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, window_words) AS n FROM g) WHERE n > 1) GROUP BY doc_id),
+m AS (SELECT w.doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_full_lines,
+  coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+c(rule, cutoff) AS (VALUES {", ".join(f"('{r.name}', CAST({c} AS DOUBLE))" for r in quality.RULES for c in r.cutoffs)}),
+v AS (SELECT doc_id, stratum, base_failed, unnest([{", ".join(f"{{'rule': '{r.name}', 'value': CAST({r.value} AS DOUBLE)}}" for r in quality.RULES)}], recursive := true) FROM b WHERE n_words > 0),
+k AS (SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (value > cutoff) AS k FROM v JOIN c USING (rule) JOIN labels USING (doc_id) WHERE quality = 1 AND NOT base_failed GROUP BY ALL),
+safe AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM (SELECT *, count(*) OVER () AS tests FROM k)
+  WHERE k < n * 0.02 / {len(quality.RULES)} AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02 / {len(quality.RULES)}) + (n - i) * ln(1 - 0.02 / {len(quality.RULES)})))) <= 0.05 / tests GROUP BY ALL),
+bad AS (SELECT DISTINCT doc_id FROM v JOIN safe USING (stratum, rule) WHERE value > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept FROM b LEFT JOIN bad USING (doc_id)""",
+    "op9_license_scan": rf"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM d),
+p(phrase, label) AS (VALUES {", ".join(f"({p.split()}, '{x}')" for p, x in licenses.PHRASES.items())}),
+f AS (SELECT doc_id, i, label FROM (SELECT doc_id, words, unnest(range(0, len(words))) AS i FROM w) JOIN p ON list_slice(words, i + 1, i + len(phrase)) = phrase),
+base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM f GROUP BY doc_id),
+x(label, tokens) AS (VALUES {", ".join(f"('{x}', {licenses.template_words(t)})" for x, t in licenses.TEMPLATES)}),
+l AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS tokens FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
+own AS (SELECT doc_id, label, len(list_intersect(l.tokens, x.tokens)) / len(x.tokens) AS containment FROM l, x WHERE len(list_intersect(l.tokens, x.tokens)) >= ceil(0.8 * len(x.tokens) - 1e-9)),
+both_labels AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM own UNION ALL SELECT doc_id, label FROM f) GROUP BY doc_id),
+best AS (SELECT doc_id, max(containment) AS containment FROM own GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(containment, 0) END AS score
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN both_labels USING (doc_id) LEFT JOIN best USING (doc_id)""",
 }
