@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +51,11 @@ def ascii_lower(c: Column) -> Column:
 
 def count_partitions(rows: int, each: int, least: int = 1) -> int:
     return max(least, -(-rows // each))
+
+
+def kept_in_worker(name: str, make):
+    """An object that a Python worker keeps from one task to the next; functions pickled by value have no globals that last."""
+    held = sys.modules.setdefault("kinlink_worker_state", ModuleType("kinlink_worker_state")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]

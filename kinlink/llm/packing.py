@@ -37,10 +37,10 @@ def pieces(docs: DataFrame, tokenizer_json: str, seq_len: int, end_id: int, with
     sent = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(sent.value), end_id.to_bytes(WIDTH, "little")
+        encoder, end = Encoder.in_worker(sent.value), end_id.to_bytes(WIDTH, "little")
         for b in batches:
             at, start, length, crc, total, own = [], [], [], [], [], []
-            for i, ids in enumerate(encoder.encode(b.column(1).to_pylist())):
+            for i, ids in enumerate(encoder.encode(b.column(1))):
                 ids += end
                 for k in range(0, len(ids), WIDTH * seq_len):
                     piece = ids[k : k + WIDTH * seq_len]

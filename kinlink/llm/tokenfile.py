@@ -105,8 +105,8 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, segm
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
 
-        encoder, end = Encoder(sent.value), end_id.to_bytes(4, "little")
-        narrow = max(len(encoder.spaced) - 1, end_id) < 1 << 16
+        encoder, end = Encoder.in_worker(sent.value), end_id.to_bytes(4, "little")
+        narrow = max(encoder.n_ids - 1, end_id) < 1 << 16
         part, segment = TaskContext.get().partitionId(), 0
         names, texts, total = [], [], 0
 
@@ -119,8 +119,8 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, segm
 
         for b in batches:
             keys, column = b.column(0).to_pylist(), b.column(1)
-            for at in range(0, len(keys), 1000):
-                for key, ids in zip(keys[at : at + 1000], encoder.encode(column.slice(at, 1000).to_pylist()), strict=True):
+            for at in range(0, len(keys), 10_000):
+                for key, ids in zip(keys[at : at + 10_000], encoder.encode(column.slice(at, 10_000)), strict=True):
                     names.append(key)
                     texts.append(ids + end)
                     total += len(ids) // 4 + 1

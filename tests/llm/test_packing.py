@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 from kinlink.llm import cutting, packing
 from kinlink.llm.encode import Encoder
 from tokenizers import Tokenizer
@@ -13,9 +14,10 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 def test_encoder_gives_the_library_s_ids():
     t = Tokenizer.from_file(PATH)
     t.encode_special_tokens = True
-    texts = ["", " a", "a ", "a  b", "a \n b", "\n a", "a  b", "<|endoftext|> x", "it's 'd we'll", "1 2  3", "é​ x", None, "x\x1c y", "a　b c", "plain words stand here.\nNext line", "plain words"]
+    texts = ["", " a", "a ", "a  b", "a \n b", "\n a", "a\u00a0 b", "<|endoftext|> x", "it's 'd we'll", "1 2  3", "é\u200b x", None, "x\x1c y", "a\u3000b c", "plain words stand here.\nNext line", "plain words"]
+    texts += ["ab.\nCd, e", "a\n\nb c", "x &&&\nY*** _z", "don't. He'll\n's a", "ſtra ŉ Ω.", "a\tb c", "x a.\nb!? c&&& d1 \U0001f600", "中文 字"]
     want = [b"".join(i.to_bytes(4, "little") for i in t.encode(x or "", add_special_tokens=False).ids) for x in texts]
-    assert Encoder(open(PATH).read()).encode(texts) == want
+    assert Encoder(open(PATH).read()).encode(pa.array(texts)) == want
 
 
 def test_cutting_stock_is_near_the_bound():
@@ -37,7 +39,7 @@ def test_cutting_stock_is_near_the_bound():
 
 
 def check(rows, docs, seq_len):
-    whole = Encoder(open(PATH).read()).encode([t for _, t in docs])
+    whole = Encoder(open(PATH).read()).encode(pa.array([t for _, t in docs], pa.string()))
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r.doc_id].append(r)
