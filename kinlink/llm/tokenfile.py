@@ -93,7 +93,7 @@ class EliasFano:
         return (ones.astype(np.int64) << self.width) + (bits << np.arange(self.width)).sum(axis=1)
 
 
-def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, segment_ids: int = 1 << 20, part_bytes: int = 24 << 20) -> None:
+def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, segment_ids: int = 1 << 20, part_bytes: int = 16 << 20) -> None:
     """Encode ``docs`` and write the segments to ``path`` in ascending doc_id order."""
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -134,23 +134,36 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, segm
     rows.mapInArrow(run, f"part int, segment int, n_ids long, id_bits int, doc_ids array<{kind_name}>, bounds binary, ids binary").write.option("compression", "zstd").parquet(path)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, part, segment, at (place in the segment), n_tokens, ids (little-endian, 32 bits each), from the files."""
+FIELDS = ("part", "segment", "id_bits", "doc_ids", "bounds", "ids")
+
+
+def documents(b: pa.RecordBatch) -> Iterator[tuple[list[pa.Array], list[memoryview]]]:
+    """For each segment: doc_id, part, segment, at and n_tokens of its documents, and their ids with 32 bits each."""
+    for i in range(b.num_rows):
+        part, segment, bits, names, bounds, ids = (b.column(k)[i] for k in range(len(FIELDS)))
+        ends = EliasFano.from_bytes(bounds.as_py()).values()
+        starts = np.concatenate([[0], ends[:-1]])
+        data = memoryview(np.frombuffer(ids.as_buffer(), dtype="<u2" if bits.as_py() == 16 else "<u4").astype("<u4")).cast("B")
+        n = len(ends)
+        yield [names.values, pa.array([part.as_py()] * n, pa.int32()), pa.array([segment.as_py()] * n, pa.int32()), pa.array(starts, pa.int64()), pa.array(ends - starts, pa.int64())], [data[4 * s : 4 * e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def decoded(spark: SparkSession, path: str, name: str, kind: str, of) -> DataFrame:
+    """The files' documents with one more column, ``of`` their ids as an Arrow array; decoded where they are read."""
     files = spark.read.parquet(path)
-    inner = files.schema["doc_ids"].dataType.elementType
+    inner = files.schema["doc_ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(b.num_rows):
-                part, segment, bits, names, bounds, ids = (b.column(k)[i] for k in range(6))
-                ends = EliasFano.from_bytes(bounds.as_py()).values()
-                starts = np.concatenate([[0], ends[:-1]])
-                data = np.frombuffer(ids.as_buffer(), dtype="<u2" if bits.as_py() == 16 else "<u4").astype("<u4").tobytes()
-                cut = [data[4 * s : 4 * e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-                n = len(cut)
-                yield pa.RecordBatch.from_arrays([names.values, pa.array([part.as_py()] * n, pa.int32()), pa.array([segment.as_py()] * n, pa.int32()), pa.array(starts, pa.int64()), pa.array(ends - starts, pa.int64()), pa.array(cut, pa.binary())], ["doc_id", "part", "segment", "at", "n_tokens", "ids"])
+            for columns, ids in documents(b):
+                yield pa.RecordBatch.from_arrays([*columns, of(ids)], ["doc_id", "part", "segment", "at", "n_tokens", name])
+
+    return files.select(*FIELDS).mapInArrow(run, f"doc_id {inner}, part int, segment int, at long, n_tokens long, {name} {kind}")
 
-    return files.select("part", "segment", "id_bits", "doc_ids", "bounds", "ids").mapInArrow(run, f"doc_id {inner.simpleString()}, part int, segment int, at long, n_tokens long, ids binary")
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, part, segment, at (place in the segment), n_tokens, ids (little-endian, 32 bits each), from the files."""
+    return decoded(spark, path, "ids", "binary", lambda ids: pa.array([bytes(x) for x in ids], pa.binary()))
 
 
 def offsets(spark: SparkSession, path: str) -> DataFrame:
@@ -164,15 +177,8 @@ def offsets(spark: SparkSession, path: str) -> DataFrame:
 
 def boundaries(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens, ids_crc32, from the files."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            crc = pa.array([zlib.crc32(x.as_buffer()) for x in b.column(5)], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(5)), crc], [*b.schema.names[:5], "ids_crc32"])
-
-    rows = read(spark, path)
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "ids")
-    return rows.mapInArrow(run, f"{kinds}, ids_crc32 long").join(offsets(spark, path), ["part", "segment"]).select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    rows = decoded(spark, path, "ids_crc32", "long", lambda ids: pa.array(map(zlib.crc32, ids), pa.int64()))
+    return rows.join(offsets(spark, path), ["part", "segment"]).select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def round_trip(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFrame:

@@ -48,3 +48,10 @@ def test_odd_rows(odd, none):
     out = sorted(tokenfile.round_trip(odd, PATH).collect(), key=lambda r: r.start)
     assert len(out) == 12 and out[0].doc_id is None and [r.start for r in out[1:]] == np.cumsum([r.n_tokens for r in out])[:-1].tolist()
     assert tokenfile.round_trip(none, PATH).count() == 0
+
+
+def test_read_gives_the_ids(spark):
+    path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
+    tokenfile.write(spark.createDataFrame([(2, "the cat"), (1, "a"), (3, None)], "doc_id long, text string"), PATH, path, 0)
+    want = [e + b"\0\0\0\0" for e in Encoder(open(PATH).read()).encode(pa.array(["a", "the cat", None]))]
+    assert [bytes(r.ids) for r in sorted(tokenfile.read(spark, path).collect(), key=lambda r: r.doc_id)] == want
