@@ -255,17 +255,29 @@ def cut_component(edges: list[tuple[int, int, float]], max_size: int = 50) -> se
     return gone
 
 
-def betweenness(scored: DataFrame, keep, prob: str = "p_final", least: float = 0.2, max_size: int = 50) -> DataFrame:
-    """``scored`` with keep_betweenness.  Only components with a conflict reach Python, each as one group of candidates."""
+def betweenness(scored: DataFrame, keep, prob: str = "p_final", least: float = 0.2, max_size: int = 50, bound: int = 300) -> DataFrame:
+    """``scored`` with keep_betweenness.  Only components with a conflict reach Python, each as one group of candidates.
+
+    Tracing all shortest paths takes the square of a component, so one of more
+    than ``bound`` nodes first loses its weakest edges, in steps, until its parts
+    are smaller; these edges count as cut.
+    """
     edges = scored.filter(F.col(prob) >= least).select("s1_idx", "v_idx", F.col(prob).alias("p"), (F.col("s1_idx") * 2).alias("a"), (F.col("v_idx") * 2 + 1).alias("b"))
-    named = keep(edges.join(components(edges, keep), F.col("a") == F.col("node")).select("s1_idx", "v_idx", "p", "cid"), "graph")
-    sizes = named.groupBy("cid").agg(F.count_distinct("s1_idx").alias("n_s1"), F.count_distinct("v_idx").alias("n_v"))
-    hard = named.join(sizes.filter((F.col("n_s1") > 1) | (F.col("n_s1") + F.col("n_v") > max_size)), "cid", "left_semi")
+    floor, left = least, edges
+    while True:
+        named = keep(left.join(components(left, keep), F.col("a") == F.col("node")).select("s1_idx", "v_idx", "p", "a", "b", "cid"), "graph")
+        sizes = named.groupBy("cid").agg(F.count_distinct("s1_idx").alias("n_s1"), F.count_distinct("v_idx").alias("n_v"))
+        large = keep(sizes.filter(F.col("n_s1") + F.col("n_v") > bound).select("cid"), "large")
+        if floor >= 1 or large.isEmpty():
+            break
+        floor = min(1.0, floor + 0.05)
+        left = named.join(large.withColumn("_large", F.lit(True)), "cid", "left").filter(F.col("_large").isNull() | (F.col("p") >= floor)).select("s1_idx", "v_idx", "p", "a", "b")
+    hard = named.join(sizes.filter((F.col("n_s1") > 1) | (F.col("n_s1") + F.col("n_v") > max_size)), "cid", "left_semi").join(large, "cid", "left_anti")
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(sorted(cut_component(list(zip(g.s1_idx, g.v_idx, g.p, strict=True)), max_size)), columns=["s1_idx", "v_idx"])
 
-    gone = hard.groupBy("cid").applyInPandas(run, "s1_idx long, v_idx long").withColumn("_gone", F.lit(True))
-    return scored.join(gone, ["s1_idx", "v_idx"], "left").withColumn("keep_betweenness", F.col("_gone").isNull()).drop("_gone")
-
-
+    cut = hard.groupBy("cid").applyInPandas(run, "s1_idx long, v_idx long")
+    stay = named.select("s1_idx", "v_idx").join(cut, ["s1_idx", "v_idx"], "left_anti").withColumn("_stay", F.lit(True))
+    out = scored.join(stay, ["s1_idx", "v_idx"], "left")
+    return out.withColumn("keep_betweenness", F.col("_stay").isNotNull() | (F.col(prob) < least)).drop("_stay")

@@ -337,7 +337,7 @@ def er_features(spark, d):
 
 def er_betweenness(spark, d):
     """Conflicting links cut from the match graph."""
-    rows = scored(spark, d).filter("v_idx % 4 = 0 and p_final > 0.7")
+    rows = scored(spark, d).filter("v_idx % 4 = 0 and p_final > 0.85")
     return decide.betweenness(rows, kept).select("s1_idx", "v_idx", "keep_betweenness")
 
 
