@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import tempfile
 import uuid
@@ -59,3 +61,12 @@ def kept_in_worker(name: str, make):
     if name not in held:
         held[name] = make()
     return held[name]
+
+
+def given_back() -> None:
+    """Return what a Python worker no longer uses to the system, for the JVM beside it."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)

@@ -22,7 +22,7 @@ import xxhash
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from kinlink.llm.common import kept_in_worker
+from kinlink.llm.common import given_back, kept_in_worker
 
 #: Characters that one library or another takes for white space, besides those of Unicode's property.
 ALSO_SPACE = "[᠎​﻿\x1c-\x1f]"
@@ -33,6 +33,8 @@ MARKS = r'[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*'
 ONE = f"^(?P<a>{LETTERS})(?P<b>{MARKS})$"
 TWO = f"^(?P<a>{LETTERS})(?P<b>{MARKS})\n(?P<c>{LETTERS})(?P<d>{MARKS})$"
 CALL, GROUP = 5000, 300_000
+#: Bytes of text that are taken at a time, which bounds the memory of a worker.
+BATCH = 16 << 20
 
 
 class Ragged:
@@ -66,34 +68,32 @@ def together(parts: list[Ragged]) -> Ragged:
 
 
 class Encoder:
-    def __init__(self, source: str):
-        """source: the text of a tokenizers JSON file."""
+    def __init__(self, source: str, batch_bytes: int = BATCH):
+        """source: the text of a tokenizers JSON file; batch_bytes: more is faster, as chunks recur, and takes more memory."""
+        self.batch_bytes = batch_bytes
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         pre = self.tokenizer.pre_tokenizer
         self.cut = type(pre).__name__ == "ByteLevel" and not pre.add_prefix_space and self.tokenizer.normalizer is None
         vocabulary = self.tokenizer.get_vocab()
         self.n_ids = max(vocabulary.values(), default=0) + 1
-        self.bytewise = Tokenizer.from_str(source)  # the same merges without the pattern
-        self.bytewise.encode_special_tokens = True
-        if self.cut:
-            self.bytewise.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.by_pattern, self.by_piece = pre, ByteLevel(add_prefix_space=False, use_regex=False)
         self.starts = {}
         for mark, name in ((" ", "Ġ"), ("\n", "Ċ")):
             self.starts[mark] = np.zeros(self.n_ids, dtype=bool)
             self.starts[mark][[i for x, i in vocabulary.items() if x.startswith(name)]] = True
 
     @classmethod
-    def in_worker(cls, source: str) -> Encoder:
+    def in_worker(cls, source: str, batch_bytes: int = BATCH) -> Encoder:
         """One encoder for all tasks that a Python worker runs."""
-        return kept_in_worker(f"encoder {xxhash.xxh3_128_hexdigest(source)}", lambda: cls(source))
+        return kept_in_worker(f"encoder {batch_bytes} {xxhash.xxh3_128_hexdigest(source)}", lambda: cls(source, batch_bytes))
 
     def whole(self, texts: list[str]) -> Ragged:
         return Ragged.of([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
 
     def parted(self, calls: list, mark: str, n: int) -> Ragged:
         """The ids of n parts that each begin with ``mark`` and hold no other."""
-        ids = np.concatenate([np.zeros(0, "<u4"), *(np.array(e.ids, dtype="<u4") for e in calls)])
+        ids = np.concatenate([np.zeros(0, "<u4"), *calls])
         start = np.flatnonzero(self.starts[mark][ids])
         if len(start) != n:
             raise ValueError(f"the tokenizer does not begin a token at each {mark!r}")
@@ -102,9 +102,11 @@ class Encoder:
     def words(self, words: pa.Array, spaced: bool) -> Ragged:
         """Ids of words as pieces, with a space before each, or with none."""
         words, calls = words.to_pylist(), []
+        self.tokenizer.pre_tokenizer = self.by_piece  # the same merges without the pattern
         for k in range(0, len(words), CALL):
             cut = [" " + x for x in words[k : k + CALL]] if spaced else [y for x in words[k : k + CALL] for y in ("\n", x)]
-            calls.append(self.bytewise.encode_batch_fast([cut], is_pretokenized=True, add_special_tokens=False)[0])
+            calls.append(np.array(self.tokenizer.encode_batch_fast([cut], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype="<u4"))
+        self.tokenizer.pre_tokenizer = self.by_pattern
         out = self.parted(calls, " " if spaced else "\n", len(words))
         return out if spaced else Ragged(out.flat, out.size - 1, out.start + 1)
 
@@ -129,7 +131,7 @@ class Encoder:
             out_at.append(at[good])
             rest, at = rest.filter(pa.array(~good)), at[~good]
         hard = rest.to_pylist()
-        calls = [self.tokenizer.encode_batch_fast([" " + " ".join(hard[k : k + CALL])], add_special_tokens=False)[0] for k in range(0, len(hard), CALL)]
+        calls = [np.array(self.tokenizer.encode_batch_fast([" " + " ".join(hard[k : k + CALL])], add_special_tokens=False)[0].ids, dtype="<u4") for k in range(0, len(hard), CALL)]
         lists.append(self.parted(calls, " ", len(hard)))
         back = np.empty(len(parts), dtype=np.int64)
         back[np.concatenate([*out_at, at])] = np.arange(len(parts))
@@ -138,6 +140,15 @@ class Encoder:
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is empty."""
         texts = texts.cast(pa.large_string()).fill_null("")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        cuts = np.searchsorted(sizes, np.arange(0, sizes[-1] if len(sizes) else 0, self.batch_bytes)[1:]).tolist()
+        out: list[bytes] = []
+        for low, high in zip([0, *cuts], [*cuts, len(texts)], strict=True):
+            out += self.batch(texts.slice(low, high - low))
+            given_back()
+        return out
+
+    def batch(self, texts: pa.Array) -> list[bytes]:
         n = len(texts)
         split = pc.split_pattern(texts, " ")
         ends = split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]

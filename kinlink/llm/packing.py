@@ -27,17 +27,17 @@ from pyspark.sql.window import Window
 
 from kinlink.llm.common import count_partitions, stored
 from kinlink.llm.cutting import solve
-from kinlink.llm.encode import Encoder
+from kinlink.llm.encode import BATCH, Encoder
 
 WIDTH = 4
 
 
-def pieces(docs: DataFrame, tokenizer_json: str, seq_len: int, end_id: int, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_json: str, seq_len: int, end_id: int, with_ids: bool = False, batch_bytes: int = BATCH) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, and with ``with_ids`` the ids: documents cut at multiples of ``seq_len``."""
     sent = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder.in_worker(sent.value), end_id.to_bytes(WIDTH, "little")
+        encoder, end = Encoder.in_worker(sent.value, batch_bytes), end_id.to_bytes(WIDTH, "little")
         for b in batches:
             at, start, length, crc, total, own = [], [], [], [], [], []
             for i, ids in enumerate(encoder.encode(b.column(1))):
@@ -87,10 +87,10 @@ def layout(cut: DataFrame, seq_len: int, grain: int, per_group: int = 100_000) -
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(line), F.lit(0))).select(*cut.columns, "sequence_id", "offset")
 
 
-def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 1024, end_id: int = 0, grain: int = 4, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 1024, end_id: int = 0, grain: int = 4, with_ids: bool = False, batch_bytes: int = BATCH) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and with ``with_ids`` each piece's ids."""
     if seq_len % grain:
         raise ValueError("grain divides seq_len")
     with open(tokenizer_path, encoding="utf-8") as f:
         source = f.read()
-    return layout(stored(pieces(docs, source, seq_len, end_id, with_ids), "pieces"), seq_len, grain)
+    return layout(stored(pieces(docs, source, seq_len, end_id, with_ids, batch_bytes), "pieces"), seq_len, grain)
