@@ -1,6 +1,7 @@
 """License scans: an exact set-similarity join, in DataFrame expressions only.
 
-A block is a line of a text.  A template matches a block where the block holds
+A block is a line of a text; with ``wrapped`` also each run of consecutive words
+over line ends, a quarter longer than a template, that holds enough of it.  A template matches a block where the block holds
 at least ``threshold`` of the template's distinct words.  Blocks are joined with
 templates by prefix filtering: the words of templates are put in one global
 order, rarest in the corpus first; a match needs a common word among the first
@@ -58,6 +59,12 @@ def template_words(text: str) -> list[str]:
     return sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())))
 
 
+def window_size(text: str) -> int:
+    """Words of a run that may hold a template: its own, and a quarter for words put in between."""
+    n = len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()))
+    return n + n // 4
+
+
 def needed(n: int, threshold: float) -> int:
     return max(1, math.ceil(threshold * n - 1e-9))
 
@@ -78,8 +85,17 @@ def places(words: Column, phrases: dict[str, str]) -> Column:
     return F.concat(*(of(p, x) for p, x in phrases.items()))
 
 
-def scanned(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str], least: int) -> DataFrame:
-    """doc_id, th, n_words, found (places of phrases) and blocks (their words of the vocabulary, if ``least`` or more)."""
+def windows(words: Column, known: Column, own: Column, template: list[str], size: int, o: int) -> Column:
+    """The distinct blocks of runs of ``size`` words that begin with a word of the template and hold ``o`` or more; none is built where the text lacks them."""
+    t = F.array(*map(F.lit, template))
+    starts = F.filter(F.transform(words, lambda w, i: F.when(F.array_contains(t, w), i + 1)), lambda i: i.isNotNull())
+    runs = F.filter(F.transform(starts, lambda i: F.slice(words, i, F.lit(size))), lambda x: F.size(F.array_intersect(t, x)) >= o)
+    some = F.array_distinct(F.transform(runs, lambda x: F.array_intersect(own, x)))
+    return F.when(F.size(F.array_intersect(t, known)) >= o, some).otherwise(F.array().cast("array<array<string>>"))
+
+
+def scanned(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str], least: int, wrapped: list[tuple[list[str], int, int]] = ()) -> DataFrame:
+    """doc_id, th, n_words, found (places of phrases) and blocks (their words of the vocabulary, if ``least`` or more); wrapped: words, window size and words needed of templates that may span lines."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.regexp_replace(ascii_lower(F.coalesce("text", F.lit(""))), BETWEEN, " ").alias("t"))
     rows = rows.withColumn("words", F.array_remove(F.split(F.translate("t", "\n", " "), " "), ""))
     rows = rows.withColumn("line", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
@@ -88,6 +104,9 @@ def scanned(docs: DataFrame, phrases: dict[str, str], vocabulary: list[str], lea
         some = some | F.contains(F.col("line"), F.lit(f" {p} "))
     own = F.array(*map(F.lit, vocabulary))
     blocks = F.filter(F.transform(F.split("t", "\n"), lambda x: F.array_intersect(own, F.split(x, " "))), lambda b: F.size(b) >= least)
+    if wrapped:
+        rows = rows.withColumn("known", F.array_intersect(own, "words"))
+        blocks = F.concat(blocks, *(windows(F.col("words"), F.col("known"), own, t, size, o) for t, size, o in wrapped))
     none = F.array().cast("array<struct<i:int,label:string>>")
     return rows.select("doc_id", "th", F.size("words").cast("long").alias("n_words"), F.when(some, places(F.col("words"), phrases)).otherwise(none).alias("found"), blocks.alias("blocks"))
 
@@ -115,11 +134,12 @@ def matches(rows: DataFrame, templates: list[tuple[str, list[str]]], threshold:
     return near.groupBy("doc_id", "th", "label").agg(F.max(F.col("common") / F.col("t_size")).alias("containment"))
 
 
-def scan(docs: DataFrame, threshold: float = 0.8, templates=TEMPLATES, phrases: dict[str, str] = PHRASES) -> DataFrame:
+def scan(docs: DataFrame, threshold: float = 0.8, templates=TEMPLATES, phrases: dict[str, str] = PHRASES, wrapped: bool = False) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels and labels (arrays), score."""
     cut = [(label, template_words(text)) for label, text in templates]
     vocabulary = sorted({w for _, t in cut for w in t})
-    rows = stored(scanned(docs, phrases, vocabulary, min(needed(len(t), threshold) for _, t in cut)), "license-words")
+    spans = [(t, window_size(text), needed(len(t), threshold)) for (_, t), (_, text) in zip(cut, templates, strict=True)] if wrapped else []
+    rows = stored(scanned(docs, phrases, vocabulary, min(needed(len(t), threshold) for _, t in cut), spans), "license-words")
     own = matches(rows, cut, threshold).groupBy("doc_id", "th").agg(F.collect_set("label").alias("own"), F.max("containment").alias("containment")).toDF("__id", "__th", "own", "containment")
     joined = rows.drop("blocks").join(own, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")), "left")
     starts, base = F.transform("found", lambda x: x.i.cast("long")), F.array_sort(F.array_distinct(F.transform("found", lambda x: x.label)))

@@ -62,7 +62,7 @@ def op8_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = licenses.scan(table(spark, sf_dir, "documents"))
+    out = licenses.scan(table(spark, sf_dir, "documents"), wrapped=True)
     return out.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
 
 

@@ -51,3 +51,19 @@ def test_odd_rows(odd, none):
     out = {x.doc_id: x for x in licenses.scan(odd).collect()}
     assert row(out[1]) == (0, 0, None, None, [], [], 0.0) and out[9].n_words == 30_000
     assert licenses.scan(none).count() == 0
+
+
+def test_notices_over_several_lines(spark):
+    r, rows, want = random.Random(9), [], []
+    for x, t in licenses.TEMPLATES:
+        for width in (1, 4, 9):
+            w = t.split()
+            body = "\n".join(" * " + " ".join(w[k : k + width]) for k in range(0, len(w), width))
+            want.append(x)
+            rows.append((len(rows), " ".join(r.choice(["blue", "tree", "of", "and"]) for _ in range(40)) + "\n" + body + "\nend of it"))
+    w = " ".join(t for _, t in licenses.TEMPLATES).split()
+    far = "\n".join(y for x in w for y in [x, *["tree"] * 20])
+    df = spark.createDataFrame([*rows, (len(rows), far)], "doc_id long, text string")
+    out = {x.doc_id: x for x in licenses.scan(df, wrapped=True).collect()}
+    assert all(x in out[i].labels and out[i].score >= 0.8 for i, x in enumerate(want))
+    assert list(out[len(rows)].labels) == [] and out[len(rows)].score == 0  # all the words, but far apart
