@@ -9,6 +9,8 @@ import tempfile
 import uuid
 from types import ModuleType
 
+import numpy as np
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +23,13 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session has none (tests on one machine) a local folder is made.
+    Only a session on one machine (tests) may have none; it gets a local folder.
+    On a cluster a folder of the driver's is of no use to executors: an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="kinlink-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -55,6 +60,17 @@ def count_partitions(rows: int, each: int, least: int = 1) -> int:
     return max(least, -(-rows // each))
 
 
+def packed(a: np.ndarray) -> bytes:
+    """A list of integers in few bytes: by byte planes, compressed."""
+    a = np.asarray(a, dtype="<i8")
+    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpacked(b: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").ravel()
+
+
 def kept_in_worker(name: str, make):
     """An object that a Python worker keeps from one task to the next; functions pickled by value have no globals that last."""
     held = sys.modules.setdefault("kinlink_worker_state", ModuleType("kinlink_worker_state")).__dict__

@@ -36,7 +36,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = spans.dedup_spans(table(spark, sf_dir, "documents"), min_sentences=3, min_words=20)
+    out = spans.dedup_spans(table(spark, sf_dir, "documents"), run_length=3, min_words=28)
     return out.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
