@@ -1,28 +1,34 @@
-"""Katz back-off scoring of texts with a bigram model over all training documents.
-
-The model.  Words whose count is at least ``max(2, share * N)`` (N: training
-tokens) have a class of their own, so there are at most ``1 / share`` of them at
-any size of the corpus; the others form one class, in which a word has the
-additively smoothed share ``(c + 0.1) / (N_rare + 0.1 (V_rare + 1))``.  Over classes:
-
-    P(w)     = c(w) / (N + 1), the rare class having one more count
-    P(w | v) = d(c) c(v w) / C(v)      where the bigram was seen
-             = alpha(v) P(w)           elsewhere
-
-with Good-Turing discounts d for counts up to ``cutoff`` and alpha(v) the left
-over mass divided by the unigram mass of the classes not seen after v, summed
-exactly, so P(. | v) adds up to one.  Contexts never seen back off with alpha 1;
-where nothing is discounted after v one count is added to C(v); where every
-class was seen the discounted counts are normalised instead.
-
-The plan.  Documents are encoded once into units of some million tokens: a local
-vocabulary and local token numbers.  Each unit sends its distinct words, and
-later its distinct bigrams, once, as compact sorted lists dealt over shards by
-hash; a shard adds the training counts up, writes them as its part of the
-n-gram table and replies to each unit with the totals in the unit's order.  So
-a word or bigram that a third of the corpus shares is one entry of each unit.
-Only the discounts and, for each class, P(w), C(v) and alpha(v) are broadcast;
-their number is bounded by ``1 / share``.
+"""Katz back-off scoring of texts with a bigram model of the whole vocabulary.
+
+The model, over the tokens of the training documents (N tokens; an end token
+closes each text and a start stands before it):
+
+    P(w)     = d1(c) c(w) / N        for every word seen
+    P(?)     = what is left over     for all words not seen, together one event
+    P(w | v) = d2(c) c(v w) / C(v)   where the bigram was seen
+             = alpha(v) P(w)         elsewhere; alpha is 1 for contexts not seen
+
+d1 and d2 are Good-Turing discounts for counts up to ``cutoff``.  alpha(v) is the
+mass that the seen bigrams of v leave over, divided by the unigram mass of the
+words not seen after v, both summed exactly, so P(. | v) adds up to one.  Where
+nothing is discounted, one count is added to the denominator instead.  No word
+and no bigram is left out or pooled: the model grows with the corpus.
+
+The plan.  Texts are encoded once into units of some million tokens: a local
+vocabulary and local token numbers.  Each unit asks for its distinct words, and
+then for its distinct bigrams, once each, in compact lists dealt over shards.  A
+word shard adds up the training counts, numbers the words it has seen, writes
+its part of the unigram table and replies with counts and numbers.  Bigrams are
+dealt by the number of their context, so that a shard holds all successors of a
+context: it adds up the counts, writes its part of the bigram table, and replies
+with the counts and, for each context, how many successors have each small
+count and the unigram mass of them all.  From these a unit has C(v), the discounted
+mass and alpha(v), and evaluates each token.  Contexts with more than
+``max(hot, share * N)`` tokens (fewer than ``1 / share``) are dealt by both words;
+the sums of their parts are the only part of the model that is broadcast.
+
+Nothing a task holds grows with the corpus: shards and units are of fixed size,
+their number grows.
 
 Defined results: null texts are empty, and an empty text is its end token; rows
 with a null id belong to the training fold if the caller's fold says so, else
@@ -32,10 +38,8 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import hashlib
-import math
-import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -45,30 +49,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.llm.common import count_partitions, shared_dir, stored
+from kinlink.llm.common import count_partitions, packed, stored, unpacked
 
 END = b"\n"  # no word holds white space
 SMOOTH = 0.1
-TABLE = -1  # the unit under which a shard writes its part of the table
-
-
-def packed(a: np.ndarray) -> bytes:
-    """A list of integers in few bytes: by byte planes, compressed."""
-    a = np.asarray(a, dtype="<i8")
-    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(-1, 8).T.tobytes())
-
-
-def unpacked(b: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype=np.uint8)
-    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").ravel()
-
-
-def packed_sorted(a: np.ndarray) -> bytes:
-    return packed(np.diff(a, prepend=0))
-
-
-def unpacked_sorted(b: bytes) -> np.ndarray:
-    return np.cumsum(unpacked(b))
+TABLE, PARTS = -1, -2  # the units under which a shard writes its part of the table, and of the sums of hot contexts
+UNKNOWN, START, FIRST = 0, 1, 2  # numbers of words
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def packed_words(words: list[bytes]) -> bytes:
@@ -79,18 +66,72 @@ def unpacked_words(b: bytes) -> list[bytes]:
     return zstandard.ZstdDecompressor().decompress(b).split(b" ")
 
 
+def by_shard(shard: np.ndarray, shards: int) -> list[np.ndarray]:
+    """The places of each shard's members, in order."""
+    order = np.argsort(shard, kind="stable")
+    return np.split(order, np.searchsorted(shard[order], np.arange(1, shards)))
+
+
 def word_shards(words: list[bytes], shards: int) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(w) % shards for w in words], dtype=np.int64)
 
 
-def pair_shards(pairs: np.ndarray, shards: int) -> np.ndarray:
-    return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % shards
+def pair_shards(v: np.ndarray, w: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
+    """By the context; for hot contexts by both words.  Hot ones come after the others: shards, then shards again."""
+    x = v.astype(np.uint64) * MIX + np.where(hot, (w.astype(np.uint64) + np.uint64(1)) * (MIX ^ np.uint64(0xFFFF0000)), np.uint64(0))
+    return (((x ^ (x >> np.uint64(29))) * MIX) >> np.uint64(33)).astype(np.int64) % shards + shards * hot
 
 
-def by_shard(shard: np.ndarray, shards: int) -> list[np.ndarray]:
-    """The places of each shard's members, in order."""
-    order = np.argsort(shard, kind="stable")
-    return np.split(order, np.searchsorted(shard[order], np.arange(1, shards)))
+def discounts(of_counts: dict[int, int], cutoff: int) -> np.ndarray:
+    """d for counts 0 .. cutoff; Good-Turing, or an absolute discount for counts where it is not within (0, 1)."""
+    n1, n2 = of_counts.get(1, 0), of_counts.get(2, 0)
+    flat = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+    common = (cutoff + 1) * of_counts.get(cutoff + 1, 0) / n1 if n1 else 1.0
+    out = [1.0]
+    for r in range(1, cutoff + 1):
+        d = 0.0
+        if of_counts.get(r, 0) and common < 1:
+            d = ((r + 1) * of_counts.get(r + 1, 0) / of_counts[r] / r - common) / (1 - common)
+        out.append(d if 0 < d < 1 else (r - flat) / r)
+    return np.array(out)
+
+
+def discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    return c * np.where(c < len(d), d[np.minimum(c, len(d) - 1)], 1.0)
+
+
+@dataclass
+class Model:
+    """What scoring needs besides the tables: a few numbers, and the sums of at most ``1 / share`` hot contexts."""
+
+    tokens: int
+    types: int
+    texts: int
+    d1: np.ndarray
+    of_counts: dict[int, int]
+    hot_above: int
+    d2: np.ndarray = field(default_factory=lambda: np.ones(1))
+    hot_v: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    hot_small: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.int64))
+    hot_mass: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def __post_init__(self):
+        kept = self.tokens - sum((1 - self.d1[r]) * r * self.of_counts.get(r, 0) for r in range(1, len(self.d1)))
+        self.whole = self.tokens if kept < self.tokens - 1e-9 else self.tokens + 1
+        self.unknown = 1 - kept / self.whole
+
+    def p(self, c: np.ndarray) -> np.ndarray:
+        """P of words by their count."""
+        return np.where(c > 0, discounted(c, self.d1) / self.whole, self.unknown)
+
+    def log_p(self, c: np.ndarray, of_context: np.ndarray, small: np.ndarray, mass: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """log10 P(w | v): count of the bigram and of the context, successors of v with each small count, their mass, P(w)."""
+        r = np.arange(1, len(self.d2))
+        kept = of_context - small @ ((1 - self.d2[1:]) * r)
+        whole = np.where(small.sum(axis=1) > 0, of_context, of_context + 1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            alpha = np.where(of_context > 0, (1 - kept / whole) / np.maximum(1 - mass, self.unknown), 1.0)
+            return np.log10(np.where(c > 0, discounted(c, self.d2) / whole, alpha * p))
 
 
 class Words(dict):
@@ -99,32 +140,80 @@ class Words(dict):
         return n
 
 
-UNIT = "kind string, shard int, unit long, a binary, b binary, c binary, doc_ids array<{}>"
+class Unit:
+    """A unit's words and tokens, and what shards replied on them."""
+
+    def __init__(self, words: bytes, tokens: bytes, shape: bytes):
+        self.words, self.flat = unpacked_words(words), unpacked(tokens)
+        self.lengths, learns = unpacked(shape).reshape(2, -1)
+        self.learns = learns.astype(bool)
+        self.of_learning = np.repeat(self.learns, self.lengths)
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+
+    def own_counts(self) -> np.ndarray:
+        return np.bincount(self.flat[self.of_learning], minlength=len(self.words))
+
+    def hear_words(self, shard: list[int], values: list[bytes], shards: int) -> None:
+        """Counts and numbers of the unit's words, from the replies."""
+        places = by_shard(word_shards(self.words, shards), shards)
+        self.count, self.number = np.zeros((2, len(self.words)), dtype=np.int64)
+        for k, b in zip(shard, values, strict=True):
+            self.count[places[k]], self.number[places[k]] = unpacked(b).reshape(2, -1)
+
+    def pair_up(self, model: Model) -> None:
+        """The distinct bigrams in order of context and word: v, w, own count n, counts of_v and of_w; at: the bigram of each token."""
+        before = np.concatenate([[-1], self.flat[:-1]])
+        before[self.starts] = -1
+        number, count = np.append(self.number, START if model.texts else UNKNOWN), np.append(self.count, model.texts)
+        v, v_at, v_rank = np.unique(number[before], return_index=True, return_inverse=True)
+        w, w_at, w_rank = np.unique(self.number[self.flat], return_index=True, return_inverse=True)
+        known, self.at = np.unique(v_rank * len(w) + w_rank, return_inverse=True)
+        own_v, own_w = known // len(w), known % len(w)
+        self.v, self.w = v[own_v], w[own_w]
+        self.of_v, self.of_w = count[before[v_at]][own_v], self.count[self.flat[w_at]][own_w]
+        self.n = np.bincount(self.at[self.of_learning], minlength=len(known))
+
+    def lists(self, model: Model, shards: int) -> list[tuple[int, np.ndarray]]:
+        """The places of the bigrams asked of each shard; numbers from ``shards`` on are for hot contexts."""
+        asked = np.flatnonzero(self.v != UNKNOWN)
+        shard = pair_shards(self.v[asked], self.w[asked], self.of_v[asked] > model.hot_above, shards)
+        return [(k, asked[x]) for k, x in enumerate(by_shard(shard, 2 * shards)) if len(x)]
+
+    def scores(self, model: Model, shard: list[int], counts: list[bytes], small: list[bytes | None], mass: list[bytes | None], shards: int) -> np.ndarray:
+        """log10 P of each token."""
+        width = len(model.d2) - 1
+        c, own_small, own_mass = np.zeros(len(self.v), dtype=np.int64), np.zeros((len(self.v), width), dtype=np.int64), np.zeros(len(self.v))
+        places = dict(self.lists(model, shards))
+        for k, a, s, m in zip(shard, counts, small, mass, strict=True):
+            at = places[k]
+            c[at] = unpacked(a)
+            if k < shards:
+                _, context = np.unique(self.v[at], return_inverse=True)
+                own_small[at] = unpacked(s).reshape(-1, width)[context]
+                own_mass[at] = unpacked(m).view(np.float64)[context]
+            else:
+                x = np.searchsorted(model.hot_v, self.v[at])
+                own_small[at], own_mass[at] = model.hot_small[x], model.hot_mass[x]
+        return model.log_p(c, self.of_v, own_small, own_mass, model.p(self.of_w))[self.at]
 
 
-def unit_rows(docs: DataFrame, fold: Column, unit_tokens: int, shards: int) -> DataFrame:
-    """Units (words, tokens, documents) and their requests for words, in one pass over the texts."""
+def unit_rows(docs: DataFrame, fold: Column, unit_tokens: int) -> DataFrame:
+    """unit, words, tokens, shape, doc_ids: the texts, encoded in one pass."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = docs.sparkSession.createDataFrame([], UNIT.format(kind)).schema
+    schema = docs.sparkSession.createDataFrame([], f"unit long, words binary, tokens binary, shape binary, doc_ids array<{kind}>").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shape, part, serial = to_arrow_schema(schema), TaskContext.get().partitionId(), 0
 
         def flush(words, tokens, lengths, learns, ids) -> pa.RecordBatch:
-            unit, own, flat = part << 32 | serial, list(words), np.concatenate(tokens)
-            counts = np.bincount(flat[np.repeat(learns, lengths)], minlength=len(own))
-            rows = [{"kind": "unit", "shard": None, "unit": unit, "a": packed_words(own), "b": packed(flat), "c": packed(np.array([lengths, learns], dtype=np.int64).ravel()), "doc_ids": ids}]
-            for k, at in enumerate(by_shard(word_shards(own, shards), shards)):
-                if len(at):
-                    rows.append({"kind": "words", "shard": k, "unit": unit, "a": packed_words([own[i] for i in at]), "b": packed(counts[at]), "c": None, "doc_ids": None})
-            return pa.RecordBatch.from_pylist(rows, schema=shape)
-
-        state = (Words(), [], [], [], [])
-        total = 0
+            row = {"unit": part << 32 | serial, "words": packed_words(list(words)), "tokens": packed(np.concatenate(tokens)), "shape": packed(np.array([lengths, learns], dtype=np.int64).ravel()), "doc_ids": ids}
+            return pa.RecordBatch.from_pylist([row], schema=shape)
+
+        state, total = (Words(), [], [], [], []), 0
         for b in batches:
-            for doc_id, learn, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for doc_id, learn, text in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 words, tokens, lengths, learns, ids = state
                 own = (text or b"").lower().split()
                 own.append(END)
@@ -142,192 +231,179 @@ def unit_rows(docs: DataFrame, fold: Column, unit_tokens: int, shards: int) -> D
     return docs.select("doc_id", F.coalesce(fold, F.lit(False)).alias("learn"), F.col("text").cast("binary")).mapInArrow(run, schema)
 
 
-def answered(requests: DataFrame, of_words: bool) -> DataFrame:
-    """For each shard, its part of the table (unit -1: keys, counts) and the replies (unit, counts in the order asked)."""
-
-    def run(key: tuple, t: pa.Table) -> pa.Table:
-        units, asked, counts = t.column("unit").to_pylist(), [], []
-        for a, b in zip(t.column("a").to_pylist(), t.column("b").to_pylist(), strict=True):
-            asked.append(unpacked_words(a) if of_words else unpacked_sorted(a))
-            counts.append(unpacked(b))
-        if of_words:
-            number = Words()
-            places = [np.array(list(map(number.__getitem__, x)), dtype=np.int64) for x in asked]
-            known = list(number)
-        else:
-            known, flat = np.unique(np.concatenate(asked), return_inverse=True)
-            places = np.split(flat, np.cumsum([len(x) for x in asked])[:-1])
-        total = np.zeros(len(known), dtype=np.int64)
-        for at, n in zip(places, counts, strict=True):
-            total[at] += n
-        seen = np.flatnonzero(total)
-        own = packed_words([known[i] for i in seen]) if of_words else packed_sorted(known[seen])
-        keys, values = [own, *[None] * len(units)], [packed(total[seen]), *(packed(total[at]) for at in places)]
-        n = len(keys)
-        return pa.table({"shard": pa.array([key[0].as_py()] * n, pa.int32()), "unit": pa.array([TABLE, *units], pa.int64()), "a": pa.array(keys, pa.binary()), "b": pa.array(values, pa.binary())})
-
-    return requests.select("shard", "unit", "a", "b").groupBy("shard").applyInArrow(run, "shard int, unit long, a binary, b binary")
-
-
-def word_table(replies: DataFrame) -> DataFrame:
-    """word (binary), n: the unigram table, by shard."""
+def answered_words(units: DataFrame, shards: int, cutoff: int) -> DataFrame:
+    """shard, unit, words, value, stats: each shard's part of the unigram table, and its replies (counts, then numbers, in the order asked)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for words, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                n = unpacked(n)
-                yield pa.RecordBatch.from_arrays([pa.array(unpacked_words(words) if len(n) else [], pa.binary()), pa.array(n, pa.int64())], ["word", "n"])
-
-    return replies.filter(F.col("unit") == TABLE).select("a", "b").mapInArrow(run, "word binary, n long")
-
-
-def pair_table(replies: DataFrame, width: int) -> DataFrame:
-    """v, w, n: the bigram table over classes, by shard."""
+            for name, words, tokens, shape in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+                unit = Unit(words, tokens, shape)
+                counts = unit.own_counts()
+                rows = [(k, packed_words([unit.words[i] for i in at]), packed(counts[at])) for k, at in enumerate(by_shard(word_shards(unit.words, shards), shards)) if len(at)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([name] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["shard", "unit", "words", "value"])
+
+    def reply(key: tuple, t: pa.Table) -> pa.Table:
+        place, asked = Words(), []
+        for a in t.column("words"):
+            asked.append(np.array(list(map(place.__getitem__, unpacked_words(a.as_py()))), dtype=np.int64))
+        total = np.zeros(len(place), dtype=np.int64)
+        for at, n in zip(asked, t.column("value"), strict=True):
+            total[at] += unpacked(n.as_py())
+        k, rank = key[0].as_py(), np.empty(len(total), dtype=np.int64)
+        rank[np.argsort(-total, kind="stable")] = np.arange(len(total))
+        number = np.where(total > 0, FIRST + rank * shards + k, UNKNOWN)
+        known, seen = list(place), np.flatnonzero(total)
+        texts = int(total[place[END]]) if END in place else 0
+        stats = [int(total.sum()), len(seen), texts, *np.bincount(total[total <= cutoff + 1], minlength=cutoff + 2)[1:].tolist()]
+        n = len(asked) + 1
+        keys = [packed_words([known[i] for i in seen]), *[None] * len(asked)]
+        values = [packed(np.concatenate([total[seen], number[seen]])), *(packed(np.concatenate([total[at], number[at]])) for at in asked)]
+        return pa.table({"shard": pa.array([k] * n, pa.int32()), "unit": pa.array([TABLE, *t.column("unit").to_pylist()], pa.int64()), "words": pa.array(keys, pa.binary()), "value": pa.array(values, pa.binary()), "stats": pa.array([stats, *[None] * len(asked)], pa.list_(pa.int64()))})
+
+    asked = units.select("unit", "words", "tokens", "shape").mapInArrow(ask, "shard int, unit long, words binary, value binary")
+    return asked.repartition(shards, "shard").groupBy("shard").applyInArrow(reply, "shard int, unit long, words binary, value binary, stats array<long>")
+
+
+def unigram_table(answers: DataFrame) -> DataFrame:
+    """word (binary), number, n: every word seen in training, by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for keys, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                k = unpacked_sorted(keys)
-                yield pa.RecordBatch.from_arrays([pa.array(k // width, pa.int64()), pa.array(k % width, pa.int64()), pa.array(unpacked(n), pa.int64())], ["v", "w", "n"])
+            for words, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                n, number = unpacked(value).reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(unpacked_words(words) if len(n) else [], pa.binary()), pa.array(number), pa.array(n)], ["word", "number", "n"])
 
-    return replies.filter(F.col("unit") == TABLE).select("a", "b").mapInArrow(run, "v long, w long, n long")
+    return answers.filter(F.col("unit") == TABLE).select("words", "value").mapInArrow(run, "word binary, number long, n long")
 
 
-def digest(word: bytes) -> bytes:
-    return hashlib.blake2b(word, digest_size=16).digest()
+LISTS = ("contexts", "sizes", "words", "own", "of_words")  # of a request
+PAIR_ANSWER = "shard int, unit long, counts binary, small binary, mass binary, contexts binary, sizes binary, words binary, stats array<long>"
 
 
-def discounts(of_counts: dict[int, int], cutoff: int) -> list[float]:
-    """d for counts 0 .. cutoff; Good-Turing, or an absolute discount for counts where it is not within (0, 1)."""
-    n1, n2 = of_counts.get(1, 0), of_counts.get(2, 0)
-    flat = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
-    common = (cutoff + 1) * of_counts.get(cutoff + 1, 0) / n1 if n1 else 1.0
-    out = [1.0]
-    for r in range(1, cutoff + 1):
-        d = 0.0
-        if of_counts.get(r, 0) and common < 1:
-            d = ((r + 1) * of_counts.get(r + 1, 0) / of_counts[r] / r - common) / (1 - common)
-        out.append(d if 0 < d < 1 else (r - flat) / r)
-    return out
+def answered_pairs(units: DataFrame, words: DataFrame, model, shards: int, word_shard_count: int, parts: int) -> DataFrame:
+    """Each shard's part of the bigram table, the sums of its parts of hot contexts, and its replies in the order asked."""
 
-
-class Model:
-    """What scoring needs besides the bigram counts; arrays are indexed by class: 0 rare, then words, last the start of a text."""
-
-    def __init__(self, frequent: list[tuple[bytes, int]], tokens: int, types: int):
-        self.tokens, self.types = tokens, types
-        self.classes = {d: i for i, (d, _) in enumerate(frequent, 1)}
-        self.start = len(frequent) + 1
-        self.width = len(frequent) + 2
-        own = np.array([n for _, n in frequent], dtype=np.int64)
-        self.rare_tokens, self.rare_types = tokens - int(own.sum()), types - len(frequent)
-        self.p = np.concatenate([[self.rare_tokens + 1], own, [0]]) / (tokens + 1)
-        self.denominator, self.alpha, self.d = np.zeros(self.width), np.ones(self.width), np.ones(1)
-
-    def fit(self, d: list[float], contexts: list[tuple[int, int, float, float]]) -> None:
-        """contexts: v, C(v), its discounted count, the unigram mass of its successors."""
-        self.d = np.array(d)
-        for v, count, kept, mass in contexts:
-            left = 1 - mass
-            if left <= 1e-9:
-                self.denominator[v], self.alpha[v] = kept, 0.0
+    def ask(key: tuple, own: pa.Table, heard: pa.Table) -> pa.Table:
+        m, rows = model.value, []
+        for row in own.to_pylist():
+            unit = Unit(row["words"], row["tokens"], row["shape"])
+            unit.hear_words(heard.column("shard").to_pylist(), heard.column("value").to_pylist(), word_shard_count)
+            unit.pair_up(m)
+            for k, at in unit.lists(m, shards):
+                contexts, sizes = np.unique(unit.v[at], return_counts=True)
+                rows.append((k, row["unit"], packed(np.diff(contexts, prepend=0)), packed(sizes), packed(unit.w[at]), packed(unit.n[at]), packed(unit.of_w[at])))
+        columns = list(zip(*rows, strict=True)) or [()] * 7
+        return pa.table({c: pa.array(x, t) for c, x, t in zip(("shard", "unit", *LISTS), columns, (pa.int32(), pa.int64(), *[pa.binary()] * 5), strict=True)})
+
+    def reply(key: tuple, t: pa.Table) -> pa.Table:
+        m, cutoff = model.value, len(model.value.d1) - 1
+        lists = [[unpacked(x.as_py()) for x in t.column(c)] for c in LISTS]
+        v = np.concatenate([np.repeat(np.cumsum(a), n) for a, n in zip(lists[0], lists[1], strict=True)])
+        w, own, of_w = (np.concatenate(x) for x in lists[2:])
+        order = np.lexsort((w, v))
+        new = np.ones(len(v), dtype=bool)
+        new[1:] = (v[order[1:]] != v[order[:-1]]) | (w[order[1:]] != w[order[:-1]])
+        first, group = np.flatnonzero(new), np.empty(len(v), dtype=np.int64)
+        group[order] = np.cumsum(new) - 1
+        total = np.add.reduceat(own[order], first)
+        of_group = v[order[first]]
+        context_v, context = np.unique(of_group, return_inverse=True)
+        seen = total > 0
+        small = np.stack([np.bincount(context[total == r], minlength=len(context_v)) for r in range(1, cutoff + 1)], axis=1)
+        mass = np.bincount(context[seen], weights=m.p(of_w[order[first]][seen]), minlength=len(context_v))
+        k, rows, begin = key[0].as_py(), [], 0
+        some, sizes = np.unique(of_group[seen], return_counts=True)
+        stats = np.bincount(total[total <= cutoff + 1], minlength=cutoff + 2)[1:].tolist()
+        rows.append((k, TABLE, packed(total[seen]), None, None, packed(np.diff(some, prepend=0)), packed(sizes), packed(w[order[first]][seen]), stats))
+        if k >= shards:
+            rows.append((k, PARTS, None, packed(small.ravel()), packed(mass.view(np.int64)), packed(np.diff(context_v, prepend=0)), None, None, None))
+        for unit, asked in zip(t.column("unit").to_pylist(), lists[1], strict=True):
+            g = group[begin : begin + int(asked.sum())]
+            begin += len(g)
+            if k < shards:
+                starts = np.concatenate([[0], np.cumsum(asked)[:-1]])
+                c = context[g[starts]]
+                wanted = np.add.reduceat((total[g] == 0).astype(np.int64), starts) > 0  # only then the unit backs off
+                rows.append((k, unit, packed(total[g]), packed(small[c].ravel()), packed(np.where(wanted, mass[c], 0.0).view(np.int64)), None, None, None, None))
             else:
-                whole = count if kept < count - 1e-9 else count + 1
-                self.denominator[v], self.alpha[v] = whole, (1 - kept / whole) / left
+                rows.append((k, unit, packed(total[g]), None, None, None, None, None, None))
+        kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 6, pa.list_(pa.int64()))
+        return pa.table({f.split()[0]: pa.array(x, t) for f, x, t in zip(PAIR_ANSWER.split(", "), zip(*rows, strict=True), kinds, strict=True)})
 
-    def log_p(self, v: np.ndarray, w: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """log10 P(w | v), given the count of each bigram."""
-        seen = n > 0
-        d = np.where(n < len(self.d), self.d[np.minimum(n, len(self.d) - 1)], 1.0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.log10(np.where(seen, d * n / self.denominator[v], self.alpha[v] * self.p[w]))
+    by = lambda d: d.repartition(parts, "unit").groupBy("unit")
+    heard = words.filter(F.col("unit") != TABLE).select("unit", "shard", "value")
+    asked = by(units.drop("doc_ids")).cogroup(by(heard)).applyInArrow(ask, "shard int, unit long, " + ", ".join(f"{c} binary" for c in LISTS))
+    return asked.repartition(shards, "shard").groupBy("shard").applyInArrow(reply, PAIR_ANSWER)
 
 
-def classes_of(words: list[bytes], model: Model) -> np.ndarray:
-    get = model.classes.get
-    return np.array([get(digest(w), 0) for w in words], dtype=np.int64)
+def bigram_table(answers: DataFrame) -> DataFrame:
+    """v, w, n: every bigram seen in training, by numbers of words, partitioned by context."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                v = np.repeat(np.cumsum(unpacked(row["contexts"])), unpacked(row["sizes"]))
+                yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(unpacked(row["words"])), pa.array(unpacked(row["counts"]))], ["v", "w", "n"])
 
-def pairs_of(flat: np.ndarray, lengths: np.ndarray, classes: np.ndarray, model: Model) -> np.ndarray:
-    w = classes[flat]
-    v = np.concatenate([[model.start], w[:-1]])
-    v[np.cumsum(lengths)[:-1]] = model.start
-    return v * model.width + w
+    return answers.filter(F.col("unit") == TABLE).select("contexts", "sizes", "words", "counts").mapInArrow(run, "v long, w long, n long")
 
 
-def pair_requests(units: DataFrame, model, shards: int) -> DataFrame:
+def hot_sums(answers: DataFrame, cutoff: int) -> DataFrame:
+    """v, s1 .. (successors with each small count), mass: the sums over the parts of each hot context."""
+    names = [f"s{r}" for r in range(1, cutoff + 1)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
         for b in batches:
-            for unit, a, tokens, shape in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
-                lengths, learns = unpacked(shape).reshape(2, -1)
-                pairs = pairs_of(unpacked(tokens), lengths, classes_of(unpacked_words(a), m), m)
-                known, at = np.unique(pairs, return_inverse=True)
-                counts = np.bincount(at[np.repeat(learns.astype(bool), lengths)], minlength=len(known))
-                rows = [(k, known[x], counts[x]) for k, x in enumerate(by_shard(pair_shards(known, shards), shards)) if len(x)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([unit] * len(rows), pa.int64()), pa.array([packed_sorted(r[1]) for r in rows], pa.binary()), pa.array([packed(r[2]) for r in rows], pa.binary())], ["shard", "unit", "a", "b"])
-
-    return units.select("unit", "a", "b", "c").mapInArrow(run, "shard int, unit long, a binary, b binary")
+            for contexts, small, mass in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.cumsum(unpacked(contexts))), *map(pa.array, np.ascontiguousarray(unpacked(small).reshape(-1, cutoff).T)), pa.array(unpacked(mass).view(np.float64))], ["v", *names, "mass"])
 
+    rows = answers.filter(F.col("unit") == PARTS).select("contexts", "small", "mass").mapInArrow(run, "v long, " + ", ".join(f"{c} long" for c in names) + ", mass double")
+    return rows.groupBy("v").agg(*(F.sum(c).alias(c) for c in names), F.sum("mass").alias("mass"))
 
-def gathered(replies: pa.Table, kind: str, shard: np.ndarray, shards: int, n: int) -> np.ndarray:
-    """A unit's counts in its own order, from the shards' replies."""
-    out, places = np.zeros(n, dtype=np.int64), by_shard(shard, shards)
-    for k, s, b in zip(replies.column("kind").to_pylist(), replies.column("shard").to_pylist(), replies.column("b").to_pylist(), strict=True):
-        if k == kind:
-            out[places[s]] = unpacked(b)
-    return out
 
+def scored(units: DataFrame, replies: DataFrame, model, shards: int, word_shard_count: int, parts: int, kind: str) -> DataFrame:
+    schema = f"doc_id {kind}, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-def scored(units: DataFrame, replies: DataFrame, model, word_parts: int, pair_parts: int, kind: str) -> DataFrame:
     def run(key: tuple, own: pa.Table, replies: pa.Table) -> pa.Table:
         m, rows = model.value, []
-        for a, b, c, ids in zip(*(own.column(k).to_pylist() for k in ("a", "b", "c")), own.column("doc_ids"), strict=True):
-            words, flat = unpacked_words(a), unpacked(b)
-            lengths, learns = unpacked(c).reshape(2, -1)
-            count = gathered(replies, "words", word_shards(words, word_parts), word_parts, len(words))
-            classes = classes_of(words, m)
-            pairs = pairs_of(flat, lengths, classes, m)
-            known, at = np.unique(pairs, return_inverse=True)
-            n = gathered(replies, "pairs", pair_shards(known, pair_parts), pair_parts, len(known))
-            katz = m.log_p(known // m.width, known % m.width, n)[at]
-            inner = np.where(classes == 0, np.log10((count + SMOOTH) / (m.rare_tokens + SMOOTH * (m.rare_types + 1))), 0.0)
-            base = np.log10((count + SMOOTH) / (m.tokens + SMOOTH * (m.types + 1)))
-            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            add = lambda x, starts=starts: np.add.reduceat(x, starts)
-            rows.append(pa.table({"doc_id": ids.values, "learned": pa.array(learns.astype(bool)), "n_tokens": pa.array(lengths), "n_known": pa.array(add((count > 0)[flat].astype(np.int64))), "train_tokens": pa.array(np.full(len(lengths), m.tokens)), "base_score": pa.array(add(base[flat])), "score": pa.array(add(katz + inner[flat]))}))
-        return pa.concat_tables(rows) if rows else pa.table({f: pa.array([], t) for f, t in (("doc_id", pa.int64()), ("learned", pa.bool_()), *((x, pa.int64()) for x in ("n_tokens", "n_known", "train_tokens")), ("base_score", pa.float64()), ("score", pa.float64()))})
-
-    schema = f"doc_id {kind}, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return units.groupBy("unit").cogroup(replies.groupBy("unit")).applyInArrow(run, schema)
-
-
-def score(docs: DataFrame, fold: Column, share: float = 1e-5, cutoff: int = 5, unit_tokens: int = 2_000_000, shard_tokens: int = 4_000_000) -> DataFrame:
+        of_words, of_pairs = ([r for r in replies.to_pylist() if r["pairs"] is x] for x in (False, True))
+        for row, ids in zip(own.drop_columns(["doc_ids"]).to_pylist(), own.column("doc_ids"), strict=True):
+            unit = Unit(row["words"], row["tokens"], row["shape"])
+            unit.hear_words([r["shard"] for r in of_words], [r["value"] for r in of_words], word_shard_count)
+            unit.pair_up(m)
+            katz = unit.scores(m, *([r[c] for r in of_pairs] for c in ("shard", "value", "small", "mass")), shards)
+            base = np.log10((unit.count + SMOOTH) / (m.tokens + SMOOTH * (m.types + 1)))
+            add = lambda x, unit=unit: pa.array(np.add.reduceat(x, unit.starts))
+            rows.append(pa.table({"doc_id": ids.values, "learned": pa.array(unit.learns), "n_tokens": pa.array(unit.lengths), "n_known": add((unit.count > 0)[unit.flat].astype(np.int64)), "train_tokens": pa.array(np.full(len(unit.lengths), m.tokens)), "base_score": add(base[unit.flat]), "score": add(katz)}))
+        if rows:
+            return pa.concat_tables(rows)
+        return pa.table({f: pa.array([], t) for f, t in (("doc_id", pa.int64()), ("learned", pa.bool_()), *((x, pa.int64()) for x in ("n_tokens", "n_known", "train_tokens")), ("base_score", pa.float64()), ("score", pa.float64()))})
+
+    by = lambda d: d.repartition(parts, "unit").groupBy("unit")
+    return by(units).cogroup(by(replies)).applyInArrow(run, schema)
+
+
+def score(docs: DataFrame, fold: Column, cutoff: int = 5, share: float = 1e-6, hot: int = 200_000, unit_tokens: int = 2_000_000, shard_bytes: int = 12 << 20) -> DataFrame:
     """doc_id, learned, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the text).
 
-    ``fold`` says from which documents the model learns.
+    ``fold`` says from which documents the model learns.  ``unit_tokens`` and
+    ``shard_bytes`` (of text for each shard) set what a task holds.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = count_partitions(size, 6 * shard_tokens, 64)  # about six bytes a token
-    path = f"{shared_dir(spark)}/katz-{uuid.uuid4().hex}"
-    unit_rows(docs, fold, unit_tokens, parts).write.partitionBy("kind").option("compression", "zstd").parquet(path)
+    shards = count_partitions(size, shard_bytes, 4)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = spark.read.schema(UNIT.format(kind)).parquet(path)
-    units = rows.filter("kind = 'unit'")
-    words = stored(answered(rows.filter("kind = 'words'"), True), "katz-words")
-    unigrams = stored(word_table(words), "katz-unigrams")
-    tokens, types = (x or 0 for x in unigrams.agg(F.sum("n"), F.count(F.lit(1))).first())
-    frequent = [(digest(bytes(r["word"])), r["n"]) for r in unigrams.filter(F.col("n") >= max(2, math.ceil(share * tokens))).collect()]  # at most 1 / share rows
-    model = Model(sorted(frequent, key=lambda x: (-x[1], x[0])), tokens, types)
-    asked = spark.sparkContext.broadcast(model)
-    pairs = stored(answered(pair_requests(units, asked, parts), False), "katz-pairs")
-    bigrams = pair_table(pairs, model.width)
-    d = discounts({r["n"]: r["count"] for r in bigrams.filter(F.col("n") <= cutoff + 1).groupBy("n").count().collect()}, cutoff)
-    p = spark.createDataFrame(pa.table({"w": pa.array(np.arange(model.width)), "p": pa.array(model.p)}))
-    kept = F.element_at(F.array(*map(F.lit, d)), F.when(F.col("n") <= cutoff, F.col("n").cast("int") + 1).otherwise(1)) * F.col("n")
-    sums = bigrams.join(F.broadcast(p), "w").groupBy("v").agg(F.sum("n").alias("n"), F.sum(kept).alias("kept"), F.sum("p").alias("mass"))
-    model.fit(d, [tuple(r) for r in sums.collect()])  # one row for each class at most
-    whole = spark.sparkContext.broadcast(model)
-    replies = words.filter(F.col("unit") != TABLE).select("unit", F.lit("words").alias("kind"), "shard", "b").unionByName(pairs.filter(F.col("unit") != TABLE).select("unit", F.lit("pairs").alias("kind"), "shard", "b"))
-    return scored(units.select("unit", "a", "b", "c", "doc_ids"), replies, whole, parts, parts, kind)
+    units = stored(unit_rows(docs, fold, unit_tokens), "katz-units")
+    parts = max(1, units.count())
+    words = stored(answered_words(units, shards, cutoff), "katz-words")
+    sums = lambda d, n: [x or 0 for x in d.filter(F.col("unit") == TABLE).agg(*(F.sum(F.col("stats")[i]) for i in range(n))).first()]
+    tokens, types, texts, *of_counts = sums(words, cutoff + 4)
+    of_counts = dict(enumerate(of_counts, 1))
+    model = Model(tokens, types, texts, discounts(of_counts, cutoff), of_counts, max(hot, int(share * tokens)))
+    pairs = stored(answered_pairs(units, words, spark.sparkContext.broadcast(model), shards, shards, parts), "katz-pairs")
+    model.d2 = discounts(dict(enumerate(sums(pairs, cutoff + 1), 1)), cutoff)
+    parts_of_hot = np.array([tuple(r) for r in hot_sums(pairs, cutoff).orderBy("v").collect()], dtype=object).reshape(-1, cutoff + 2)  # fewer than 1 / share rows
+    model.hot_v, model.hot_small, model.hot_mass = parts_of_hot[:, 0].astype(np.int64), parts_of_hot[:, 1:-1].astype(np.int64), parts_of_hot[:, -1].astype(np.float64)
+    heard = words.filter(F.col("unit") != TABLE).select("unit", F.lit(False).alias("pairs"), "shard", "value", F.lit(None).cast("binary").alias("small"), F.lit(None).cast("binary").alias("mass"))
+    heard = heard.unionByName(pairs.filter(F.col("unit") >= 0).select("unit", F.lit(True).alias("pairs"), "shard", F.col("counts").alias("value"), "small", "mass"))
+    return scored(units, heard, spark.sparkContext.broadcast(model), shards, shards, parts, kind)

@@ -88,13 +88,12 @@ m AS (SELECT w.doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words, CAST(leng
   CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_full_lines,
   coalesce(n_repeat_words, 0) AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
-c(rule, cutoff) AS (VALUES {", ".join(f"('{r.name}', CAST({c} AS DOUBLE))" for r in quality.RULES for c in r.cutoffs)}),
-v AS (SELECT doc_id, stratum, base_failed, unnest([{", ".join(f"{{'rule': '{r.name}', 'value': CAST({r.value} AS DOUBLE)}}" for r in quality.RULES)}], recursive := true) FROM b WHERE n_words > 0),
-k AS (SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (value > cutoff) AS k FROM v JOIN c USING (rule) JOIN labels USING (doc_id) WHERE quality = 1 AND NOT base_failed GROUP BY ALL),
-safe AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM (SELECT *, count(*) OVER () AS tests FROM k)
-  WHERE k < n * 0.02 / {len(quality.RULES)} AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02 / {len(quality.RULES)}) + (n - i) * ln(1 - 0.02 / {len(quality.RULES)})))) <= 0.05 / tests GROUP BY ALL),
-bad AS (SELECT DISTINCT doc_id FROM v JOIN safe USING (stratum, rule) WHERE value > cutoff)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept FROM b LEFT JOIN bad USING (doc_id)""",
+v AS (SELECT *, least({", ".join("CASE" + "".join(f" WHEN n_words > 0 AND CAST({r.value} AS DOUBLE) > {c} THEN {j}" for j, c in enumerate(r.cutoffs)) + " END" for r in quality.RULES)}) AS rejected_at FROM b),
+k AS (SELECT stratum, level, count(*) AS n, count(*) FILTER (rejected_at <= level) AS k FROM v JOIN labels USING (doc_id), range({len(quality.RULES[0].cutoffs)}) AS levels(level) WHERE quality = 1 AND NOT base_failed GROUP BY ALL),
+unsafe AS (SELECT stratum, level FROM (SELECT *, (SELECT count(DISTINCT stratum) FROM k) AS tests FROM k)
+  WHERE k >= n * 0.02 OR list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02) + (n - i) * ln(0.98)))) > 0.05 / tests),
+chosen AS (SELECT stratum, max(level) AS level FROM k WHERE level < coalesce((SELECT min(u.level) FROM unsafe u WHERE u.stratum = k.stratum), 99) GROUP BY stratum)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(rejected_at > level, true) AS kept FROM v LEFT JOIN chosen USING (stratum)""",
     "op9_license_scan": rf"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM d),
