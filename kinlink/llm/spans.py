@@ -186,7 +186,8 @@ def dedup_spans(docs: DataFrame, run_length: int = 3, min_words: int = 28, chunk
     if docs.schema["doc_id"].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
         raise TypeError("doc_id is a whole number")
     units = stored(chunks(docs, chunk_bytes), "span-chunks")
-    shared = span_rows(units, run_length).withColumn("first", F.min("doc_id").over(Window.partitionBy("h1", "h2")))
+    parts = count_partitions(units.count(), 4, 8)
+    shared = span_rows(units, run_length).repartition(parts, "h1", "h2").withColumn("first", F.min("doc_id").over(Window.partitionBy("h1", "h2")))
     told = shared.filter(F.col("first") < F.col("doc_id")).select("chunk", "h1", "h2", "first")
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_sentences long, n_removed long, kept string"
 
@@ -199,6 +200,5 @@ def dedup_spans(docs: DataFrame, run_length: int = 3, min_words: int = 28, chunk
         columns = list(zip(*rows, strict=True)) or [()] * 4
         return pa.table({c: pa.array(x, t) for c, x, t in zip(("doc_id", "n_sentences", "n_removed", "kept"), columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)})
 
-    parts = count_partitions(units.count(), 4, 8)
     by = lambda d: d.repartition(parts, "chunk").groupBy("chunk")
     return by(units).cogroup(by(told)).applyInArrow(run, schema.replace(schema.split(",")[0], "doc_id long", 1)).select(F.col("doc_id").cast(docs.schema["doc_id"].dataType), "n_sentences", "n_removed", "kept")
