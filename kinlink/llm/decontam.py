@@ -19,6 +19,7 @@ on either side gives an empty result.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.llm.common import count_partitions
+from kinlink.llm.common import count_partitions, kept_in_worker
 
 WORD = re.compile(r"\w+")
 BASE = 0x9E3779B97F4A7C15
@@ -39,12 +40,27 @@ def tokens(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
-def rolling(ids: np.ndarray, n: int) -> np.ndarray:
-    """Karp-Rabin hash (mod 2**64) of each run of n ids."""
-    h = np.zeros(max(0, len(ids) - n + 1), dtype=np.uint64)
-    for j in range(n):
-        h = h * np.uint64(BASE) + ids[j : j + len(h)].astype(np.uint64)
-    return h
+class Running:
+    """Karp-Rabin hashes (mod 2**64) of all runs of a sequence, for any length, from one running sum.
+
+    ``BASE`` is odd, so it has an inverse mod 2**64: a run's hash is a difference of prefix sums, shifted.
+    """
+
+    def __init__(self, ids: np.ndarray):
+        n = len(ids)
+        self.power = np.cumprod(np.concatenate([np.ones(1, dtype=np.uint64), np.full(n, BASE, dtype=np.uint64)]))
+        back = np.cumprod(np.full(n, pow(BASE, -1, 1 << 64), dtype=np.uint64))
+        self.sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(ids.astype(np.uint64) * back)])
+
+    def of(self, n: int) -> np.ndarray:
+        """The hash of each run of n ids."""
+        return (self.sums[n:] - self.sums[: max(0, len(self.sums) - n)]) * self.power[n:]
+
+
+def whole(free: np.ndarray, n: int) -> np.ndarray:
+    """Where n free places stand in a row."""
+    c = np.concatenate([[0], np.cumsum(free)])
+    return c[n:] - c[: max(0, len(c) - n)] == n
 
 
 def tile(pattern: np.ndarray, text: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
@@ -53,18 +69,18 @@ def tile(pattern: np.ndarray, text: np.ndarray, min_match: int) -> list[tuple[in
     Ids below 1 match nothing, not even themselves.
     """
     free_p, free_t, tiles = pattern > 0, text > 0, []
+    hash_p, hash_t = Running(pattern), Running(text)
     n = min(len(pattern), len(text))
     while n >= min_match:
         places = defaultdict(list)
-        whole_p = np.convolve(free_p, np.ones(n, int), "valid") == n
-        whole_t = np.convolve(free_t, np.ones(n, int), "valid") == n
-        hp, ht = rolling(pattern, n), rolling(text, n)
-        for i in np.flatnonzero(whole_p):
-            places[int(hp[i])].append(int(i))
-        hits = [int(j) for j in np.flatnonzero(whole_t) if int(ht[j]) in places]
+        hp, ht = hash_p.of(n), hash_t.of(n)
+        at_p, at_t = np.flatnonzero(whole(free_p, n)), np.flatnonzero(whole(free_t, n))
+        at_p, hits = at_p[np.isin(hp[at_p], ht[at_t])], at_t[np.isin(ht[at_t], hp[at_p])].tolist()
+        for i in at_p.tolist():
+            places[int(hp[i])].append(i)
         if not hits:
             # No run of n: the longest that is left lies between min_match and n - 1.
-            n = n - 1 if n <= min_match + 1 else max(min_match, _longest(pattern, text, free_p, free_t, min_match, n - 1))
+            n = n - 1 if n <= min_match + 1 else max(min_match, _longest(hash_p, hash_t, free_p, free_t, min_match, n - 1))
             if n < min_match:
                 break
             continue
@@ -77,15 +93,12 @@ def tile(pattern: np.ndarray, text: np.ndarray, min_match: int) -> list[tuple[in
     return tiles
 
 
-def _longest(pattern: np.ndarray, text: np.ndarray, free_p: np.ndarray, free_t: np.ndarray, low: int, high: int) -> int:
+def _longest(pattern: Running, text: Running, free_p: np.ndarray, free_t: np.ndarray, low: int, high: int) -> int:
     """The length of the longest common run of free ids, by bisection; below ``low`` if none."""
     best = low - 1
     while low <= high:
         mid = (low + high) // 2
-        ones = np.ones(mid, int)
-        p = rolling(pattern, mid)[np.convolve(free_p, ones, "valid") == mid]
-        t = rolling(text, mid)[np.convolve(free_t, ones, "valid") == mid]
-        if np.isin(p, t).any():
+        if np.isin(pattern.of(mid)[whole(free_p, mid)], text.of(mid)[whole(free_t, mid)]).any():
             best, low = mid, mid + 1
         else:
             high = mid - 1
@@ -100,7 +113,7 @@ class Block:
         seeds = defaultdict(set)
         for item_id, text in items:
             ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in tokens(text)], dtype=np.int64)
-            for h in rolling(ids, min_match).tolist():
+            for h in Running(ids).of(min_match).tolist():
                 seeds[h].add(len(self.items))
             self.items.append((item_id, ids))
         self.seeds = dict(seeds)
@@ -113,11 +126,11 @@ class Block:
         if len(words) < n or not len(self.hashes):
             return
         ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), dtype=np.int64, count=len(words))
-        known = np.convolve(ids > 0, np.ones(n, int), "valid") == n
+        known = whole(ids > 0, n)
         if not known.any():
             return
         at = np.flatnonzero(known)
-        h = rolling(ids, n)[at]
+        h = Running(ids).of(n)[at]
         spot = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
         hit = self.hashes[spot] == h
         by_item = defaultdict(list)
@@ -150,26 +163,30 @@ def blocks(benchmark: DataFrame, block_tokens: int) -> Iterator[list[tuple[objec
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, min_coverage: float = 0.8, block_tokens: int = 500_000) -> DataFrame:
-    """doc_id, item_id, matched, item_tokens, coverage, tiles: one row for each document and item that leaks into it."""
+    """doc_id, th (hash of the text), item_id, matched, item_tokens, coverage, tiles: one row for each document and item that leaks into it."""
     sc = docs.sparkSession.sparkContext
     doc_kind, item_kind = (d.schema[c].dataType.simpleString() for d, c in ((docs, "doc_id"), (benchmark, "item_id")))
-    schema = f"doc_id {doc_kind}, item_id {item_kind}, matched long, item_tokens long, coverage double, tiles array<struct<item_at:long,doc_at:long,length:long>>"
+    schema = f"doc_id {doc_kind}, th long, item_id {item_kind}, matched long, item_tokens long, coverage double, tiles array<struct<item_at:long,doc_at:long,length:long>>"
     none = docs.sparkSession.createDataFrame([], schema)
     types, found = none.schema, []
     for items in blocks(benchmark, block_tokens):
-        sent = sc.broadcast(items)
+        sent, name = sc.broadcast(items), uuid.uuid4().hex
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, name=name) -> Iterator[pa.RecordBatch]:
             from pyspark.sql.pandas.types import to_arrow_schema
 
-            block, shape = Block(sent.value, min_match), to_arrow_schema(types)
+            held, shape = kept_in_worker("decontam", dict), to_arrow_schema(types)
+            if name not in held:  # one block at a time stays in a worker
+                held.clear()
+                held[name] = Block(sent.value, min_match)
+            block = held[name]
             for b in batches:
                 rows = []
-                for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for doc_id, th, text in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                     for item_id, matched, n, tiles in block.search(text):
                         if matched >= min_coverage * n:
-                            rows.append({"doc_id": doc_id, "item_id": item_id, "matched": matched, "item_tokens": n, "coverage": matched / n, "tiles": [{"item_at": i, "doc_at": j, "length": m} for i, j, m in tiles]})
+                            rows.append({"doc_id": doc_id, "th": th, "item_id": item_id, "matched": matched, "item_tokens": n, "coverage": matched / n, "tiles": [{"item_at": i, "doc_at": j, "length": m} for i, j, m in tiles]})
                 yield pa.RecordBatch.from_pylist(rows, schema=shape)
 
-        found.append(docs.select("doc_id", "text").mapInArrow(run, types))
+        found.append(docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, types))
     return reduce(DataFrame.unionByName, found) if found else none

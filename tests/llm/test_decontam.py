@@ -33,6 +33,38 @@ def test_tiling_against_definition():
         assert all(p[i : i + n] == t[j : j + n] for i, j, n in tiles)
 
 
+def test_running_hashes():
+    r = random.Random(3)
+    ids = np.array([r.randint(0, 50) for _ in range(200)], dtype=np.int64)
+    for n in (1, 2, 7, 199, 200):
+        want = []
+        for i in range(200 - n + 1):
+            h = 0
+            for x in ids[i : i + n].tolist():
+                h = (h * decontam.BASE + x) % (1 << 64)
+            want.append(h)
+        assert decontam.Running(ids).of(n).tolist() == want
+    assert len(decontam.Running(ids).of(201)) == 0
+
+
+def test_search_against_brute_tiling():
+    """Every item of a block in random documents, whole and in pieces, against the tiling of the full texts."""
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(25)]
+    items = [(i, " ".join(r.choice(words) for _ in range(r.randint(3, 25)))) for i in range(12)]
+    block = decontam.Block(items, 4)
+    for _ in range(60):
+        text = [r.choice(words) for _ in range(r.randint(0, 30))]
+        for _, t in r.sample(items, 2):
+            cut = t.split()
+            k = r.randrange(len(cut))
+            text += cut[k:] + [r.choice(words)] + cut[:k]
+        found = {i: (n, size) for i, n, size, _ in block.search(" ".join(text)) if n}
+        number = {w: k for k, w in enumerate(sorted(set(text) | {w for _, t in items for w in t.split()}), 1)}
+        want = {i: (brute_tile([number[w] for w in t.split()], [number[w] for w in text], 4), len(t.split())) for i, t in items}
+        assert found == {i: x for i, x in want.items() if x[0]}
+
+
 BENCH = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa"), (2, None), (3, "too short"), (4, "one two three four five six seven eight nine ten eleven twelve")]
 
 
