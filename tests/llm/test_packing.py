@@ -2,7 +2,9 @@ import random
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pyarrow as pa
 from kinlink.llm import cutting, packing
 from kinlink.llm.encode import Encoder
@@ -20,6 +22,14 @@ def test_encoder_gives_the_library_s_ids():
     assert Encoder(open(PATH).read()).encode(pa.array(texts)) == want
 
 
+def test_encoder_on_whole_documents():
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).combine_chunks()
+    library = Tokenizer.from_file(PATH)
+    library.encode_special_tokens = True
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in library.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+    assert list(Encoder(open(PATH).read()).encode(texts)) == want
+
+
 def test_cutting_stock_is_near_the_bound():
     r = random.Random(1)
     for sizes in ([r.randint(1, 64) for _ in range(3000)], [33] * 500, [64], [1] * 10, [21, 43] * 300):
@@ -39,7 +49,9 @@ def test_cutting_stock_is_near_the_bound():
 
 
 def check(rows, docs, seq_len):
-    whole = Encoder(open(PATH).read()).encode(pa.array([t for _, t in docs], pa.string()))
+    library = Tokenizer.from_file(PATH)
+    library.encode_special_tokens = True
+    whole = [np.array(e.ids, dtype="<u4").tobytes() for e in library.encode_batch([t or "" for _, t in docs], add_special_tokens=False)]
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r.doc_id].append(r)
