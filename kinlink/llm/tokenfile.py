@@ -166,13 +166,43 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return decoded(spark, path, "ids", "binary", lambda ids: pa.array([bytes(x) for x in ids], pa.binary()))
 
 
+GROUP = 1024
+
+
 def offsets(spark: SparkSession, path: str) -> DataFrame:
-    """part, segment, first: ids before each segment; sums of parts first, so no window holds more than a part's segments or the parts."""
-    sizes = spark.read.parquet(path).select("part", "segment", "n_ids")
-    up = lambda w: F.coalesce(F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n_ids")).select("part", up(Window.orderBy("part")).alias("base"))
-    own = sizes.select("part", "segment", up(Window.partitionBy("part").orderBy("segment")).alias("own"))
-    return own.join(parts, "part").select("part", "segment", (F.col("base") + F.col("own")).alias("first"))
+    """part, segment, first: ids before each segment.  Sums go up in three steps, so that a window holds a part's segments, the parts of a group, or one row for each ``GROUP`` parts."""
+    sizes = spark.read.parquet(path).select("part", "segment", "n_ids").withColumn("group", F.floor(F.col("part") / GROUP).cast("int"))
+
+    def before(d: DataFrame, by: list[str], order: str, name: str) -> DataFrame:
+        w = (Window.partitionBy(*by) if by else Window).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return d.select(*by, order, F.coalesce(F.sum("n_ids").over(w), F.lit(0)).alias(name))
+
+    total = lambda *c: sizes.groupBy(*c).agg(F.sum("n_ids").alias("n_ids"))
+    groups, parts, own = before(total("group"), [], "group", "a"), before(total("group", "part"), ["group"], "part", "b"), before(sizes, ["group", "part"], "segment", "c")
+    return own.join(parts, ["group", "part"]).join(groups, "group").select("part", "segment", (F.col("a") + F.col("b") + F.col("c")).alias("first"))
+
+
+def lookup(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """doc_id, start, n_tokens, ids of the documents named (a column doc_id), by ``select`` on the boundaries of their segments alone."""
+    files = spark.read.parquet(path)
+    names = files.select("part", "segment", F.posexplode("doc_ids").alias("place", "doc_id")).join(wanted.select("doc_id").distinct(), "doc_id")
+    asked = names.groupBy("part", "segment").agg(F.collect_list(F.struct("doc_id", "place")).alias("asked"))  # at most a segment's documents
+    rows = files.select("part", "segment", "id_bits", "bounds", "ids").join(asked, ["part", "segment"])
+    kind = files.schema["doc_ids"].dataType.elementType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                bounds, width, out = EliasFano.from_bytes(r["bounds"]), r["id_bits"] // 8, []
+                for x in r["asked"]:
+                    begin, end = bounds.select(x["place"] - 1) if x["place"] else 0, bounds.select(x["place"])
+                    ids = np.frombuffer(r["ids"], dtype=f"<u{width}", count=end - begin, offset=begin * width)
+                    out.append((x["doc_id"], begin, end - begin, ids.astype("<u4").tobytes()))
+                n, columns = len(out), list(zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array([r["part"]] * n, pa.int32()), pa.array([r["segment"]] * n, pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary())], ["doc_id", "part", "segment", "at", "n_tokens", "ids"])
+
+    found = rows.mapInArrow(run, f"doc_id {kind}, part int, segment int, at long, n_tokens long, ids binary")
+    return found.join(offsets(spark, path), ["part", "segment"]).select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids")
 
 
 def boundaries(spark: SparkSession, path: str) -> DataFrame:
