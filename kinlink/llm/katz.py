@@ -383,7 +383,7 @@ def scored(units: DataFrame, replies: DataFrame, model, shards: int, word_shard_
     return by(units).cogroup(by(replies)).applyInArrow(run, schema)
 
 
-def score(docs: DataFrame, fold: Column, cutoff: int = 5, share: float = 1e-6, hot: int = 200_000, unit_tokens: int = 2_000_000, shard_bytes: int = 12 << 20) -> DataFrame:
+def score(docs: DataFrame, fold: Column, cutoff: int = 5, share: float = 1e-6, hot: int = 200_000, unit_tokens: int = 1_000_000, shard_bytes: int = 12 << 20) -> DataFrame:
     """doc_id, learned, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the text).
 
     ``fold`` says from which documents the model learns.  ``unit_tokens`` and
