@@ -35,6 +35,9 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_made: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -44,9 +47,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    if _made:
+        _made[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_alone(make, name: str, spark: SparkSession) -> DataFrame:
+    """What ``make()`` gives, stored; everything that was stored on the way is deleted."""
+    _made.append([])
+    try:
+        out = make()
+        path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        out.write.option("compression", "zstd").parquet(path)
+    finally:
+        for used in _made.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(used)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return spark.read.schema(out.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -3,6 +3,9 @@
 Every round is two joins and two aggregations over the edge table, written to
 the shared folder; the driver sees only counts.  A hub is a skewed join key,
 which adaptive execution splits; no neighbour list is ever gathered.
+
+Defined results: repeated edges count once; an empty edge table gives an empty
+result; nodes without an edge are not named; a and b are whole numbers, not null.
 """
 
 from __future__ import annotations
