@@ -87,10 +87,10 @@ def banded(signed: DataFrame, bands: int, rows: int, *ids: str) -> DataFrame:
     return signed.select(*ids, F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.slice("sig", i * rows + 1, F.lit(rows))))).alias("band", "key"))
 
 
-def minhash_pairs(s1: DataFrame, v: DataFrame, top_k: int = 20, n: int = 64, bands: int = 16, k: int = 3, max_bucket: int = 300, field: str = "name_nospace") -> DataFrame:
-    """s1_idx, v_idx, source, sim: pairs that share a band, the closest by equal min-hashes."""
+def minhash_pairs(s1: DataFrame, v: DataFrame, top_k: int = 20, n: int = 64, bands: int = 16, k: int = 3, max_bucket: int = 300, field: str = "name_nospace", keep=lambda d, name: d) -> DataFrame:
+    """s1_idx, v_idx, source, sim: pairs that share a band, the closest by equal min-hashes; signatures are computed once and kept."""
     perms = coefficients(n)
-    a, b = signatures(s1.select("s1_idx", field), field, perms, k), signatures(v.select("v_idx", "source", field), field, perms, k)
+    a, b = (keep(signatures(d.select(*ids, field), field, perms, k).select(*ids, "sig"), "signatures") for d, ids in ((s1, ["s1_idx"]), (v, ["v_idx", "source"])))
     right = banded(b, bands, n // bands, "v_idx", "source")
     small = right.groupBy("band", "key", "source").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") <= max_bucket)
     met = banded(a, bands, n // bands, "s1_idx").join(right.join(small, ["band", "key", "source"], "left_semi"), ["band", "key"]).select("s1_idx", "v_idx", "source").distinct()
@@ -140,7 +140,7 @@ def candidates(s1: DataFrame, v: DataFrame, top_k: dict[str, int] | None = None,
         if m in top_k:
             found.append(similar(*vectors[r], top_k[m]).select("s1_idx", "v_idx", "source", F.lit(m).alias("method")))
     if "minhash_lsh" in top_k:
-        found.append(minhash_pairs(s1, v, top_k["minhash_lsh"]).select("s1_idx", "v_idx", "source", F.lit("minhash_lsh").alias("method")))
+        found.append(minhash_pairs(s1, v, top_k["minhash_lsh"], keep=keep).select("s1_idx", "v_idx", "source", F.lit("minhash_lsh").alias("method")))
     if semantic is not None:
         found.append(semantic.select("s1_idx", "v_idx", F.col("source").cast("byte").alias("source"), F.lit("semantic").alias("method")))
     if not found:
@@ -149,13 +149,40 @@ def candidates(s1: DataFrame, v: DataFrame, top_k: dict[str, int] | None = None,
     return flags(capped(before, cap)), before
 
 
-def report(candidates: DataFrame, before: DataFrame, true_pairs: DataFrame, n_s1: int, n_v: int) -> DataFrame:
-    """One row for each method and one for all: true pairs found, share of all, found by this method alone; pairs completeness and reduction ratio."""
-    truth = true_pairs.select("s1_idx", "v_idx").distinct()
-    total = F.lit(truth.count())
-    hit = truth.join(candidates.select("s1_idx", "v_idx", "blk_flags"), ["s1_idx", "v_idx"])
-    n, pre = candidates.count(), truth.join(before.select("s1_idx", "v_idx"), ["s1_idx", "v_idx"], "left_semi").count()
-    found = lambda b: F.count_if(F.col("blk_flags").bitwiseAND(F.lit(b)) > 0)
-    one = lambda m, b: F.struct(F.lit(m).alias("method"), found(b).alias("found"), F.count_if(F.col("blk_flags") == b).alias("found_alone"))
-    rows = hit.agg(F.array(F.struct(F.lit("all").alias("method"), F.count(F.lit(1)).alias("found"), F.lit(0).cast("long").alias("found_alone")), *(one(m, b) for m, b in BIT.items())).alias("r"))
-    return rows.select(F.explode("r").alias("r")).select("r.*").withColumns({"true_pairs": total.cast("long"), "found_before_cap": F.lit(pre).cast("long"), "completeness": F.col("found") / F.greatest(total, F.lit(1)), "reduction_ratio": F.lit(1 - n / max(1, n_s1 * n_v))})
+def report(candidates: DataFrame, before: DataFrame, true_pairs: DataFrame, s1: DataFrame, v: DataFrame, split: DataFrame | None = None) -> DataFrame:
+    """One row for each part (all, each source, each split) and method (all, each one): how blocking did, as one plan.
+
+    true_pairs: s1_idx, v_idx, source; split: s1_idx, split.  Columns: part, method,
+    true_pairs, found, found_alone (by this method only), found_before_cap,
+    completeness, completeness_before_cap, candidates, possible, reduction_ratio;
+    a ceiling for recall after blocking is ``completeness``.
+    """
+    of = lambda d: d.join(split, "s1_idx", "left") if split is not None else d.withColumn("split", F.lit(None).cast("string"))
+    parts = F.filter(F.array(F.lit("all"), F.concat(F.lit("source_"), F.col("source").cast("string")), F.concat(F.lit("split_"), F.col("split"))), lambda x: x.isNotNull())
+    spread = lambda d, *c: of(d).select(F.explode(parts).alias("part"), *c)
+    flags_of, early = candidates.select("s1_idx", "v_idx", "blk_flags"), before.select("s1_idx", "v_idx", F.lit(1).alias("early")).distinct()
+    hits = true_pairs.select("s1_idx", "v_idx", "source").distinct().join(flags_of, ["s1_idx", "v_idx"], "left").join(early, ["s1_idx", "v_idx"], "left")
+    bit = F.col("blk_flags")
+    one = lambda m, b: F.struct(F.lit(m).alias("method"), F.count_if(bit.bitwiseAND(F.lit(b)) > 0).alias("found"), F.count_if(bit == b).alias("found_alone"))
+    rows = spread(hits, "blk_flags", "early").groupBy("part").agg(F.count(F.lit(1)).alias("true_pairs"), F.count("early").alias("found_before_cap"), F.array(F.struct(F.lit("all").alias("method"), F.count("blk_flags").alias("found"), F.lit(0).cast("long").alias("found_alone")), *(one(m, b) for m, b in BIT.items())).alias("r"))
+    rows = rows.select("part", "true_pairs", "found_before_cap", F.explode("r").alias("r")).select("part", "true_pairs", "found_before_cap", "r.*")
+    sizes = spread(candidates.select("s1_idx", "source")).groupBy("part").agg(F.count(F.lit(1)).alias("candidates"))
+    left = of(s1.select("s1_idx", F.lit(None).cast("int").alias("source"))).agg(F.count(F.lit(1)).alias("n")).withColumn("one", F.lit(1))
+    right = v.groupBy("source").count().agg(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("source_"), F.col("source").cast("string")), "count"))).alias("of"), F.sum("count").alias("n_v")).withColumn("one", F.lit(1))
+    by_split = of(s1.select("s1_idx", F.lit(None).cast("int").alias("source"))).groupBy(F.concat(F.lit("split_"), F.col("split")).alias("part")).agg(F.count(F.lit(1)).alias("n_part"))
+    out = rows.join(sizes, "part", "left").join(by_split, "part", "left").withColumn("one", F.lit(1)).join(left, "one").join(right, "one")  # one row each
+    possible = F.coalesce("n_part", "n") * F.coalesce(F.col("of")[F.col("part")], F.col("n_v"))
+    share = lambda c: F.try_divide(F.col(c), F.col("true_pairs"))
+    return out.select("part", "method", "true_pairs", "found", "found_alone", "found_before_cap", share("found").alias("completeness"), share("found_before_cap").alias("completeness_before_cap"), F.coalesce("candidates", F.lit(0)).alias("candidates"), possible.alias("possible"), (1 - F.try_divide(F.coalesce("candidates", F.lit(0)), possible)).alias("reduction_ratio"))
+
+
+BINS = (0, 5, 10, 20, 50, 100, 200)
+
+
+def histogram(candidates: DataFrame, s1: DataFrame) -> DataFrame:
+    """up_to (null: more than the last), n: how many records of source 1 have how many candidates, none included."""
+    counts = s1.select("s1_idx").join(candidates.groupBy("s1_idx").agg(F.count(F.lit(1)).alias("c")), "s1_idx", "left").select(F.coalesce("c", F.lit(0)).alias("c"))
+    at = F.lit(None).cast("int")
+    for b in reversed(BINS):
+        at = F.when(F.col("c") <= b, b).otherwise(at)
+    return counts.groupBy(at.alias("up_to")).agg(F.count(F.lit(1)).alias("n"))

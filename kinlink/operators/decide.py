@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections import defaultdict, deque
-
 from dataclasses import asdict, dataclass, fields, replace
 
 import pandas as pd
@@ -64,24 +63,32 @@ def select(scored: DataFrame, prm: Params, prob: str = "p_final") -> DataFrame:
 def sweep(scored: DataFrame, entities: DataFrame, grid: list[Params], prob: str = "p_final", beta: float = 0.5) -> list[float]:
     """Mean F-beta over all entities for each set of parameters, in one job.
 
-    The grid is a literal array of some hundred sets at most; pairs are repeated
-    for each within their entity's partition and summed before any shuffle by set.
+    Within an entity and source the chosen pairs are the first by probability,
+    whatever the parameters, so the best probability and the ranks are computed
+    once.  A pair is then repeated only for the sets that choose it, and the sums
+    by entity and set need no shuffle beyond the one by entity.  The grid is a
+    literal array of some hundred sets at most.
     """
     n = entities.count()
     base = entities.select(F.sum(F.when(F.col("n_true") == 0, 1.0).otherwise(0.0))).first()[0] or 0.0  # entities without a choice: empty is right only if nothing is true
     sets = F.array(*(F.struct(*(F.lit(x).alias(k) for k, x in {"g": i, "threshold_s2": float(q.threshold_s2), "threshold_s3": float(q.threshold_s3), "margin": float(q.margin), "gate": float(q.gate), "cap": q.max_per_source or 1 << 30, "matchable": float(q.matchable_threshold), "mode": q.graph_mode}.items())) for i, q in enumerate(grid)))
-    modes = {q.graph_mode for q in grid} - {"off"}
+    modes = sorted({q.graph_mode for q in grid})
     need = any(q.matchable_threshold > 0 for q in grid)
-    columns = ["s1_idx", "v_idx", "source", F.col(prob).alias("p"), is_true().alias("t"), *(f"keep_{m}" for m in modes), (F.coalesce("p_matchable", F.lit(0.0)) if need else F.lit(1.0)).alias("m")]
-    rows = scored.select(*columns).withColumn("x", F.explode(sets)).select("*", "x.*")
-    kept = F.lit(True)
-    for m in modes:
-        kept = kept & ((F.col("mode") != m) | F.col(f"keep_{m}"))
-    rows = rows.withColumn("p", F.when(kept, F.col("p")).otherwise(-1.0)).withColumn("top", F.max("p").over(Window.partitionBy("s1_idx", "g")))
-    rows = rows.filter(chosen(F.col("p"), F.col("source"), F.col("top"), {k: F.col(k) for k in ("threshold_s2", "threshold_s3", "margin", "gate")}) & (F.col("m") >= F.col("matchable")))
-    if any(q.max_per_source for q in grid):
-        rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("s1_idx", "g", "source").orderBy(F.desc("p"), "v_idx"))).filter("r <= cap")
-    sums = rows.groupBy("s1_idx", "g").agg(F.count_if("t").alias("tp"), F.count(F.lit(1)).alias("n_pred")).join(entities.select("s1_idx", "n_true"), "s1_idx")
+    capped = any(q.max_per_source for q in grid)
+    rows = scored.select("s1_idx", "v_idx", "source", F.col(prob).alias("p"), is_true().alias("t"), *(f"keep_{m}" for m in modes if m != "off"), (F.coalesce("p_matchable", F.lit(0.0)) if need else F.lit(1.0)).alias("m"))
+    rows = rows.repartition("s1_idx").withColumns({f"p_{m}": F.when(graph_column(m), F.col("p")).otherwise(-1.0) for m in modes})
+    rows = rows.withColumns({f"top_{m}": F.max(f"p_{m}").over(Window.partitionBy("s1_idx")) for m in modes})
+    rank = lambda m: F.row_number().over(Window.partitionBy("s1_idx", "source").orderBy(F.desc(f"p_{m}"), "v_idx"))
+    rows = rows.withColumns({f"r_{m}": rank(m) if capped else F.lit(0) for m in modes})
+
+    def passes(x: Column) -> Column:
+        out = F.lit(False)
+        for m in modes:
+            out = out | ((x["mode"] == m) & chosen(F.col(f"p_{m}"), F.col("source"), F.col(f"top_{m}"), x) & (F.col(f"r_{m}") <= x["cap"]))
+        return out & (F.col("m") >= x["matchable"])
+
+    picked = rows.select("s1_idx", "t", F.explode(F.transform(F.filter(sets, passes), lambda x: x["g"])).alias("g"))
+    sums = picked.groupBy("s1_idx", "g").agg(F.count_if("t").alias("tp"), F.count(F.lit(1)).alias("n_pred")).join(entities.select("s1_idx", "n_true"), "s1_idx")
     gain = sums.select("g", (fbeta(F.col("tp"), F.col("n_pred"), F.col("n_true"), beta) - F.when(F.col("n_true") == 0, 1.0).otherwise(0.0)).alias("d")).groupBy("g").agg(F.sum("d").alias("d"))
     found = {r["g"]: r["d"] for r in gain.collect()}
     return [(base + found.get(i, 0.0)) / max(n, 1) for i in range(len(grid))]
@@ -260,7 +267,9 @@ def betweenness(scored: DataFrame, keep, prob: str = "p_final", least: float = 0
 
     Tracing all shortest paths takes the square of a component, so one of more
     than ``bound`` nodes first loses its weakest edges, in steps, until its parts
-    are smaller; these edges count as cut.
+    are smaller; these edges count as cut.  The bound keeps a task's group of
+    bounded size: it is part of what the operator does, and a larger one costs
+    time with its square.
     """
     edges = scored.filter(F.col(prob) >= least).select("s1_idx", "v_idx", F.col(prob).alias("p"), (F.col("s1_idx") * 2).alias("a"), (F.col("v_idx") * 2 + 1).alias("b"))
     floor, left = least, edges

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,29 +11,57 @@ from pyspark.sql.window import Window
 from kinlink.operators.vectors import best
 
 
-def resolve(labels: DataFrame, s1: DataFrame, v: DataFrame, ambiguous: str = "skip", unknown: str = "warn", missing: str = "singleton") -> tuple[DataFrame, DataFrame]:
-    """(true_pairs: s1_idx, v_idx, source; entities: s1_idx, labeled, n_true, n_unresolved).
+class Truth(NamedTuple):
+    """pairs: s1_idx, v_idx, source; entities: s1_idx, labeled, n_true, n_unresolved; uncertain: s1_idx, v_idx."""
+
+    pairs: DataFrame
+    entities: DataFrame
+    uncertain: DataFrame
+
 
-    An id that names vendors of both sources is ``ambiguous``: skip, both or
-    error.  An id of no vendor is ``unknown``: warn (counted) or error.
-    A record without a label row is ``missing``: singleton, drop or error.
+def resolve(labels: DataFrame, s1: DataFrame, v: DataFrame, ambiguous: str = "skip", unknown: str = "warn", missing: str = "singleton", by_source: dict[int, str] | None = None) -> Truth:
+    """What the lists of ids mean.
+
+    ``by_source`` names the column of labels for each source, whose ids are then
+    looked up in that source alone; without it all_ids are looked up in both.  An
+    id that names several vendors is ``ambiguous``: skip (the pairs are uncertain:
+    neither true nor a negative to learn from), both or error.  An id of no vendor
+    is ``unknown``: warn (counted as unresolved) or error.  A record without a
+    label row is ``missing``: singleton, drop or error.
     """
-    ids = labels.select("s1_id", F.explode("all_ids").alias("vid")).distinct()
+    if by_source:
+        lists = F.array(*(F.struct(F.lit(k).alias("of"), F.col(c).alias("ids")) for k, c in by_source.items()))
+        ids = labels.select("s1_id", F.explode(lists).alias("x")).select("s1_id", "x.of", F.explode("x.ids").alias("vid")).distinct()
+    else:
+        ids = labels.select("s1_id", F.lit(None).cast("int").alias("of"), F.explode("all_ids").alias("vid")).distinct()
     own = s1.select("s1_idx", F.col("id").alias("s1_id"))
-    hits = ids.join(v.select("v_idx", F.col("source"), F.col("id").alias("vid")), "vid", "left").withColumn("n", F.count("v_idx").over(Window.partitionBy("s1_id", "vid")))
+    vendors = v.select("v_idx", F.col("source"), F.col("id").alias("_vid"))
+    meant = (F.col("vid") == F.col("_vid")) & (F.col("of").isNull() | (F.col("of") == F.col("source")))
+    hits = ids.join(vendors, meant, "left").withColumn("n", F.count("v_idx").over(Window.partitionBy("s1_id", "of", "vid")))
     if unknown == "error" and not hits.filter("n = 0").isEmpty():
         raise ValueError("labels name unknown vendor ids")
     if ambiguous == "error" and not hits.filter("n > 1").isEmpty():
         raise ValueError("labels name ids that both sources use")
     good = hits.filter("n > 0" if ambiguous == "both" else "n = 1")
     pairs = good.join(own, "s1_id").select("s1_idx", "v_idx", "source").distinct()
+    doubt = hits.filter("n > 1" if ambiguous == "skip" else "false").join(own, "s1_id").select("s1_idx", "v_idx").distinct()
     counts = ids.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n_true"))
     found = pairs.groupBy("s1_idx").agg(F.count(F.lit(1)).alias("n_found"))
     rows = own.join(labels.select("s1_id", F.lit(True).alias("labeled")).distinct(), "s1_id", "left").join(counts, "s1_id", "left").join(found, "s1_idx", "left")
     entities = rows.select("s1_idx", F.coalesce("labeled", F.lit(missing == "singleton")).alias("labeled"), F.coalesce("n_true", F.lit(0)).alias("n_true"), F.greatest(F.coalesce("n_true", F.lit(0)) - F.coalesce("n_found", F.lit(0)), F.lit(0)).alias("n_unresolved"))
     if missing == "error" and not entities.filter("not labeled").isEmpty():
         raise ValueError("records of source 1 have no label")
-    return pairs, entities
+    return Truth(pairs, entities, doubt.join(pairs, ["s1_idx", "v_idx"], "left_anti"))
+
+
+def shared_vendors(true_pairs: DataFrame) -> DataFrame:
+    """v_idx, n_s1: vendors that several records of source 1 list, which hints at wrong labels or chains."""
+    return true_pairs.groupBy("v_idx").agg(F.count_distinct("s1_idx").alias("n_s1")).filter("n_s1 > 1")
+
+
+def negative_pool(v: DataFrame, true_pairs: DataFrame) -> DataFrame:
+    """Vendors in no true pair."""
+    return v.join(true_pairs, "v_idx", "left_anti")
 
 
 def metric_key(source: Column, vid: Column, by_source: bool) -> Column:
@@ -94,16 +124,14 @@ def thinned(pairs: DataFrame, share: float, seed: int = 7) -> DataFrame:
     return pairs.filter((F.col("label") != 0) | (F.pmod(F.xxhash64(F.lit(seed), "s1_idx", "v_idx"), F.lit(1_000_000)) < int(share * 1_000_000)))
 
 
-def rescoring_pairs(scored: DataFrame, hard: int = 8, chance: int = 2, cap: int = 400_000, seed: int = 7) -> DataFrame:
-    """Training pairs for a second model: positives, the hardest negatives and some by chance of each entity; positives first within ``cap``."""
+def rescoring_pairs(scored: DataFrame, hard: int = 8, chance: int = 2, share: float = 1.0, seed: int = 7) -> DataFrame:
+    """Training pairs for a second model: positives, and a share by hash of the hardest negatives and some by chance of each entity."""
     negatives = scored.filter("label = 0")
     by_chance = negatives.withColumn("_h", F.xxhash64(F.lit(seed), "s1_idx", "v_idx").cast("double"))
-    rows = scored.filter("label = 1").unionByName(best(negatives, hard, ["s1_idx"], "p_lgb_raw")).unionByName(best(by_chance, chance, ["s1_idx"], "_h").drop("_h")).dropDuplicates(["s1_idx", "v_idx"])
-    return rows.orderBy(F.desc("label"), F.xxhash64(F.lit(seed), "s1_idx", "v_idx")).limit(cap)
+    picked = best(negatives, hard, ["s1_idx"], "p_lgb_raw").unionByName(best(by_chance, chance, ["s1_idx"], "_h").drop("_h")).dropDuplicates(["s1_idx", "v_idx"])
+    return scored.filter("label = 1").unionByName(thinned(picked, share, seed))
 
 
 def is_true(label: str = "label") -> Column:
     """An uncertain pair counts as listed."""
     return F.col(label) != 0
-
-

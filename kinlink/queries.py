@@ -1,9 +1,10 @@
 """The linkage operators as queries over the driver's tables, with DuckDB oracles where SQL can express them.
 
-Two inputs recur.  *Records* are read off ``documents``: id, source
-(id mod 3 + 1), a name (the first 48 characters) and an address (the next 64).
-*Scored pairs* are read off ``lineitem``: an order is an entity, a part a vendor
-record, with a probability and a label made of the keys.
+Four inputs recur.  *Records* are read off ``pages``: id, source (id mod 3 + 1),
+the title as name, the address as address; pages with the same article are the
+same.  *Texts* are the whole texts of ``documents``.  *Scored pairs* are read off
+``lineitem``: an order is an entity, a part a vendor record, with a probability
+and a label made of the keys.  *Parts* are records with plain names and addresses.
 """
 
 from __future__ import annotations
@@ -26,13 +27,23 @@ def plain(c):
     return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
 
 
+TITLE, ARTICLE = "<title>(.*?)</title>", "<article>(.*?)</article>"
+
+
 def records(spark: SparkSession, d: str) -> DataFrame:
-    t = F.coalesce("text", F.lit(""))
-    return table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), plain(F.substring(t, 1, 48)).alias("name"), plain(F.substring(t, 49, 64)).alias("address"), F.col("doc_id").alias("row_order"), (F.col("doc_id") % 3 + 1).cast("int").alias("source"))
+    return table(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), plain(F.regexp_extract("html", f"(?s){TITLE}", 1)).alias("name"), plain(F.col("url")).alias("address"), F.col("page_id").alias("row_order"), (F.col("page_id") % 3 + 1).cast("int").alias("source"))
+
+
+RECORDS = f"""r AS (SELECT CAST(page_id AS VARCHAR) AS id, trim(regexp_replace(lower(regexp_extract(html, '{TITLE}', 1, 's')), '[^a-z0-9]+', ' ', 'g')) AS name,
+  trim(regexp_replace(lower(url), '[^a-z0-9]+', ' ', 'g')) AS address, page_id AS row_order, CAST(page_id % 3 + 1 AS INTEGER) AS source FROM pages)"""
+
+
+def texts(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with their whole texts."""
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), plain(F.coalesce("text", F.lit(""))).alias("name"))
 
 
-RECORDS = """r AS (SELECT CAST(doc_id AS VARCHAR) AS id, trim(regexp_replace(lower(substr(coalesce(text, ''), 1, 48)), '[^a-z0-9]+', ' ', 'g')) AS name,
-  trim(regexp_replace(lower(substr(coalesce(text, ''), 49, 64)), '[^a-z0-9]+', ' ', 'g')) AS address, doc_id AS row_order, CAST(doc_id % 3 + 1 AS INTEGER) AS source FROM documents)"""
+TEXTS = "r AS (SELECT doc_id AS id, trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')) AS name FROM documents)"
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
@@ -82,7 +93,7 @@ def er_id_lists(spark, d):
 
 
 def er_char_grams(spark, d):
-    rows = records(spark, d).select("id", F.explode(C.word_grams(F.col("name"))).alias("gram"))
+    rows = texts(spark, d).select("id", F.explode(C.word_grams(F.col("name"))).alias("gram"))
     return rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_records"))
 
 
@@ -91,7 +102,7 @@ def er_shingles(spark, d):
 
 
 def er_idf(spark, d):
-    rows = records(spark, d).withColumn("rec", F.col("id"))
+    rows = texts(spark, d).withColumn("rec", F.col("id"))
     return vectors.idf(vectors.counted(rows, C.words(F.col("name"))), rows.count()).select("term", "df", F.round("idf", 6).alias("idf"))
 
 
@@ -101,7 +112,9 @@ def _postings(spark, d):
 
 
 def er_tfidf(spark, d):
-    return _postings(spark, d)[1].select("rec", "term", F.round("w", 6).alias("w"))
+    """Weights of the words of whole texts."""
+    rows = texts(spark, d).withColumnRenamed("id", "rec")
+    return vectors.postings(rows, C.words(F.col("name")), 0.1).select("rec", "term", F.round("w", 6).alias("w"))
 
 
 def er_similarity_join(spark, d):
@@ -119,46 +132,44 @@ x AS (SELECT rec, source, term, (1 + ln(tf)) * idf AS x FROM tf JOIN df USING (t
 
 
 def _parties(spark, d):
-    part = table(spark, d, "part").select(F.col("p_partkey").alias("v_idx"), "p_brand", "p_type", (2 + F.col("p_partkey") % 2).alias("source"))
-    left = table(spark, d, "part").filter("p_partkey % 5 = 0").select(F.col("p_partkey").alias("s1_idx"), "p_brand", "p_type")
-    keys = {"brand_type": F.concat_ws("|", "p_brand", F.substring("p_type", 1, 8)), "type": F.col("p_type")}
-    return blocking.keyed(left, keys, "s1_idx"), blocking.keyed(part, keys, "v_idx", "source")
+    """Every part on both sides, with two keys."""
+    part = table(spark, d, "part").withColumn("i", F.col("p_partkey"))
+    keys = {"name_brand": F.concat_ws("|", "p_name", "p_brand"), "brand_size": F.concat_ws("|", "p_brand", F.col("p_size").cast("string"))}
+    return blocking.keyed(part.withColumnRenamed("i", "s1_idx"), keys, "s1_idx"), blocking.keyed(part.withColumnRenamed("i", "v_idx").withColumn("source", 2 + F.col("p_partkey") % 2), keys, "v_idx", "source")
 
 
 def er_key_blocks(spark, d):
-    """Exact-key block join with purge of blocks over 40 vendors of a source."""
-    return blocking.key_blocks(*_parties(spark, d), 40)
+    """Exact-key block join; blocks over 2000 vendors of a source would go."""
+    return blocking.key_blocks(*_parties(spark, d))
 
 
-BLOCKS = """WITH p AS (SELECT p_partkey AS i, p_brand || '|' || substr(p_type, 1, 8) AS a, p_type AS b FROM part),
-k AS (SELECT i, 'brand_type' AS method, a AS key FROM p UNION ALL SELECT i, 'type', b FROM p), v AS (SELECT *, 2 + i % 2 AS source FROM k WHERE key <> ''), l AS (SELECT * FROM k WHERE i % 5 = 0 AND key <> ''),
-z AS (SELECT method, key, source, count(*) AS size FROM v GROUP BY ALL HAVING count(*) <= 40),
+BLOCKS = """WITH p AS (SELECT p_partkey AS i, p_name || '|' || p_brand AS a, p_brand || '|' || p_size AS b FROM part),
+k AS (SELECT i, 'name_brand' AS method, a AS key FROM p UNION ALL SELECT i, 'brand_size', b FROM p), v AS (SELECT *, 2 + i % 2 AS source FROM k WHERE key <> ''), l AS (SELECT * FROM k WHERE key <> ''),
+z AS (SELECT method, key, source, count(*) AS size FROM v GROUP BY ALL HAVING count(*) <= 2000),
 f AS (SELECT l.i AS s1_idx, v.i AS v_idx, v.source, method, size FROM l JOIN z USING (method, key) JOIN v USING (method, key, source))"""
 
 
 def er_union_flags(spark, d):
     """Methods of each pair as bits."""
-    pairs = blocking.key_blocks(*_parties(spark, d), 40).withColumn("method", F.when(F.col("method") == "type", "city_state").otherwise("name_prefix"))
+    pairs = blocking.key_blocks(*_parties(spark, d)).withColumn("method", F.when(F.col("method") == "brand_size", "city_state").otherwise("name_prefix"))
     return blocking.united(pairs)
 
 
 def er_cap(spark, d):
-    pairs = blocking.united(blocking.key_blocks(*_parties(spark, d), 40).withColumn("method", F.lit("postcode"))).withColumn("full_char_cos", (F.col("v_idx") * 31 % 97) / 97.0)
+    pairs = blocking.united(blocking.key_blocks(*_parties(spark, d)).withColumn("method", F.lit("postcode"))).withColumn("full_char_cos", (F.col("v_idx") * 31 % 97) / 97.0)
     return blocking.capped(pairs, 6).select("s1_idx", "v_idx", "source", F.round("blk_score", 6).alias("blk_score"))
 
 
 def er_minhash(spark, d):
-    """Min-hash signatures, four permutations shown."""
+    """Min-hash signatures of 64 permutations."""
     rows = records(spark, d).withColumn("flat", F.regexp_replace("name", " ", ""))
-    out = blocking.signatures(rows, "flat", blocking.coefficients(4), 3)
-    return out.select("id", *(F.col("sig")[i].alias(f"h{i}") for i in range(4)))
-
+    return blocking.signatures(rows, "flat", blocking.coefficients(64), 3).select("id", "sig")
 
 
 def er_minhash_join(spark, d):
     """Pairs of records that share a band of the signature, the closest twenty."""
     rows = records(spark, d).withColumn("name_nospace", F.regexp_replace("name", " ", ""))
-    return blocking.minhash_pairs(rows.filter("source = 1").withColumnRenamed("row_order", "s1_idx"), rows.filter("source > 1").withColumnRenamed("row_order", "v_idx"))
+    return blocking.minhash_pairs(rows.filter("source = 1").withColumnRenamed("row_order", "s1_idx"), rows.filter("source > 1").withColumnRenamed("row_order", "v_idx"), keep=kept)
 
 
 def er_nearest(spark, d):
@@ -266,6 +277,7 @@ def er_attach_labels(spark, d):
 
 
 def er_missed(spark, d):
+    """True pairs that are not among the candidates; candidates are the pairs from 0.5 on, so that some are missed."""
     rows = scored(spark, d)
     return labels.missed(rows.filter("label = 1").select("s1_idx", "v_idx"), rows.filter("p_final >= 0.5").select("s1_idx", "v_idx"))
 
@@ -278,6 +290,7 @@ def er_splits(spark, d):
 
 
 def er_errors(spark, d):
+    """Kinds of errors; candidates are the pairs from 0.2 on, so that some truths are lost in blocking."""
     pairs = _selected(spark, d).withColumn("is_true", labels.is_true()).filter("p_final >= 0.2")
     return metrics.errors(entities(spark, d), pairs, scored(spark, d).filter("label = 1")).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("s1_idx").alias("n_entities"))
 
@@ -290,6 +303,7 @@ def er_results(spark, d):
 
 
 def er_validate(spark, d):
+    """The validator on a result table that lacks a row in eleven, against a vendor table that lacks one in thirteen: what is to be found wrong."""
     out = er_results(spark, d).filter("cast(s1_id as long) % 11 <> 0")
     ids = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"))
     vendors = table(spark, d, "part").filter("p_partkey % 13 <> 0").select(F.concat(F.lit("P"), "p_partkey").alias("id"))
@@ -335,36 +349,51 @@ def er_features(spark, d):
     return features.pair_features(pairs, s1, v, kept)
 
 
+def title_links(spark, d):
+    """Pages of source 1 and pages of the other sources with the same title, with a probability made of the keys."""
+    r = records(spark, d)
+    pairs = r.filter("source = 1").select(F.col("row_order").alias("s1_idx"), "name").join(r.filter("source > 1").select(F.col("row_order").alias("v_idx"), "source", "name"), "name").drop("name")
+    return pairs.withColumn("p_final", (F.col("v_idx") * 7919 + F.col("s1_idx") * 104729) % 1000 / 1000.0)
+
+
 def er_betweenness(spark, d):
-    """Conflicting links cut from the match graph."""
-    rows = scored(spark, d).filter("v_idx % 4 = 0 and p_final > 0.85")
-    return decide.betweenness(rows, kept).select("s1_idx", "v_idx", "keep_betweenness")
+    """Conflicting links cut from the match graph of all pages with equal titles."""
+    return decide.betweenness(title_links(spark, d), kept).select("s1_idx", "v_idx", "keep_betweenness")
+
+
+def er_components(spark, d):
+    """Connected components of the pages that titles link."""
+    edges = title_links(spark, d).select((2 * F.col("s1_idx")).alias("a"), (2 * F.col("v_idx") + 1).alias("b"))
+    return decide.components(edges, kept)
 
 
 def er_link(spark, d):
-    """Records linked end to end: candidates, features, trees, calibration, rules; copies of a text are the truth."""
-    from kinlink.plans.link import link_documents
+    """Pages linked end to end: candidates, features, trees, calibration, rules; pages with the same article are the truth."""
+    from kinlink.plans.link import link_pages
 
-    return link_documents(spark, table(spark, d, "documents"), kept)
+    digests = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), F.md5(F.regexp_extract("html", f"(?s){ARTICLE}", 1)).alias("digest"))
+    return link_pages(spark, records(spark, d), digests, kept)
 
 
 QUERIES = {n: f for n, f in list(globals().items()) if n.startswith("er_")}
 
+LINKS = f"WITH {RECORDS}, g AS (SELECT a.row_order AS s1_idx, b.row_order AS v_idx FROM r a JOIN r b USING (name) WHERE a.source = 1 AND b.source > 1)"
+
 ORACLES = {
     "er_records": f"WITH {RECORDS} SELECT id, name, address, source FROM r",
     "er_source_stats": f"WITH {RECORDS} SELECT source, count(*) AS n_rows, count(*) FILTER (name = '') AS empty_name, count(*) - count(DISTINCT (lower(name), lower(address))) AS duplicate_name_address_rows FROM r GROUP BY source",
     "er_keep_first": "SELECT o_custkey AS id, o_orderkey AS row_order, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1",
     "er_shared_ids": "SELECT c_custkey AS id FROM customer INTERSECT SELECT s_suppkey FROM supplier",
-    "er_profile": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, avg(CAST(coalesce(CAST({c} AS VARCHAR), '') = '' AS DOUBLE)) AS empty_share, count(DISTINCT CAST({c} AS VARCHAR)) AS n_distinct, min(CAST({c} AS VARCHAR)) AS example FROM customer" for c in ("c_name", "c_mktsegment", "c_nationkey")),
+    "er_profile": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, avg(CAST(coalesce(CAST({c} AS VARCHAR), '') = '' AS DOUBLE)) AS empty_share, count(DISTINCT CAST({c} AS VARCHAR)) AS n_distinct, min(CAST({c} AS VARCHAR)) AS example, CAST(1 AS BIGINT) AS longest_list FROM customer" for c in ("c_name", "c_mktsegment", "c_nationkey")),
     "er_id_lists": "SELECT o_orderkey, o_orderpriority || ';' || CAST(o_custkey AS VARCHAR) AS ids FROM orders",
-    "er_char_grams": f"""WITH {RECORDS}, w AS (SELECT id, ' ' || unnest(string_split(name, ' ')) || ' ' AS w FROM r WHERE name <> ''), g AS (SELECT id, substr(w, i, n) AS gram FROM (SELECT id, w, n, unnest(range(1, length(w) - n + 2)) AS i FROM w, (VALUES (2), (3), (4)) z(n) WHERE length(w) >= n))
+    "er_char_grams": f"""WITH {TEXTS}, w AS (SELECT id, ' ' || unnest(string_split(name, ' ')) || ' ' AS w FROM r WHERE name <> ''), g AS (SELECT id, substr(w, i, n) AS gram FROM (SELECT id, w, n, unnest(range(1, length(w) - n + 2)) AS i FROM w, (VALUES (2), (3), (4)) z(n) WHERE length(w) >= n))
 SELECT gram, count(*) AS n, count(DISTINCT id) AS n_records FROM g GROUP BY gram""",
-    "er_idf": f"WITH {RECORDS}, t AS (SELECT DISTINCT id, unnest(string_split(name, ' ')) AS term FROM r WHERE name <> ''), n AS (SELECT count(*) AS n FROM r) SELECT term, count(*) AS df, round(ln((max(n) + 1.0) / (count(*) + 1.0)) + 1, 6) AS idf FROM t, n GROUP BY term",
-    "er_tfidf": WORDS + " SELECT rec, term, round(w, 6) AS w FROM w",
+    "er_idf": f"WITH {TEXTS}, t AS (SELECT DISTINCT id, unnest(string_split(name, ' ')) AS term FROM r WHERE name <> ''), n AS (SELECT count(*) AS n FROM r) SELECT term, count(*) AS df, round(ln((max(n) + 1.0) / (count(*) + 1.0)) + 1, 6) AS idf FROM t, n GROUP BY term",
+    "er_tfidf": WORDS.replace(RECORDS, TEXTS).replace("row_order AS rec, source,", "id AS rec, 0 AS source,") + " SELECT rec, term, round(w, 6) AS w FROM w",
     "er_similarity_join": WORDS + """, j AS (SELECT a.rec AS s1_idx, b.rec AS v_idx, b.source, round(sum(a.w * b.w), 6) AS sim FROM w a JOIN w b ON a.term = b.term AND a.source = 1 AND b.source > 1 GROUP BY ALL HAVING sum(a.w * b.w) >= 1e-6)
 SELECT * FROM j QUALIFY row_number() OVER (PARTITION BY s1_idx, source ORDER BY sim DESC, v_idx) <= 5""",
     "er_key_blocks": BLOCKS + " SELECT * FROM f",
-    "er_union_flags": BLOCKS + ", m AS (SELECT s1_idx, v_idx, source, CAST(bit_or(CASE method WHEN 'type' THEN 8 ELSE 1 END) AS INTEGER) AS blk_flags FROM f GROUP BY ALL) SELECT *, CAST(bit_count(blk_flags) AS INTEGER) AS n_methods FROM m",
+    "er_union_flags": BLOCKS + ", m AS (SELECT s1_idx, v_idx, source, CAST(bit_or(CASE method WHEN 'brand_size' THEN 8 ELSE 1 END) AS INTEGER) AS blk_flags FROM f GROUP BY ALL) SELECT *, CAST(bit_count(blk_flags) AS INTEGER) AS n_methods FROM m",
     "er_cap": BLOCKS + " SELECT s1_idx, v_idx, source, round((v_idx * 31 % 97) / 97.0 + 0.02, 6) AS blk_score FROM (SELECT DISTINCT s1_idx, v_idx, source FROM f) QUALIFY row_number() OVER (PARTITION BY s1_idx, source ORDER BY (v_idx * 31 % 97) / 97.0 + 0.02 DESC, v_idx) <= 6",
     "er_levenshtein": """SELECT c_custkey AS k, round(1 - levenshtein(c_name, s_name) / greatest(length(c_name), length(s_name), 1), 6) AS lev,
   list_max(list_filter(range(0, least(length(c_name), length(s_name)) + 1), lambda n: substr(c_name, 1, n) = substr(s_name, 1, n))) AS prefix, CAST(substr(c_name, 1, 4) = substr(s_name, 1, 4) AS DOUBLE) AS prefix4_eq FROM customer JOIN supplier ON c_custkey = s_suppkey""",
@@ -396,6 +425,7 @@ SELECT kind, count(*) AS n, count(DISTINCT s1_idx) AS n_entities FROM k WHERE ki
 SELECT s1_id, (SELECT count(*) FROM p JOIN t USING (s1_id, v) WHERE s1_id = o.s1_id) AS tp, (SELECT count(*) FROM p WHERE s1_id = o.s1_id) AS n_pred, (SELECT count(*) FROM t WHERE s1_id = o.s1_id) AS n_true FROM (SELECT DISTINCT l_orderkey AS s1_id FROM lineitem) o""",
     "er_cascade": f"WITH {SCORED} SELECT s1_idx, v_idx, p_final >= 0.1 AND p_final <= 0.9 AND row_number() OVER (PARTITION BY s1_idx, source ORDER BY p_final DESC, v_idx) <= 2 AS sent_to_ce FROM s",
     "er_semi_hard_negatives": f"WITH {SCORED} SELECT s1_idx, v_idx FROM s WHERE label = 0 QUALIFY row_number() OVER (PARTITION BY s1_idx ORDER BY p_final DESC, v_idx) <= 2",
+    "er_components": LINKS + ", n AS (SELECT DISTINCT 2 * s1_idx AS node, s1_idx AS i FROM g UNION SELECT DISTINCT 2 * v_idx + 1, v_idx FROM g) SELECT node, min(node) OVER (PARTITION BY name) AS cid FROM n JOIN r ON r.row_order = n.i",
     "er_nearest": """WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 20 = 0), j AS (SELECT q.vec_id AS s1_idx, b.vec_id AS v_idx, CAST(2 + b.vec_id % 2 AS INTEGER) AS source, list_inner_product(CAST(q.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS x FROM q, embeddings b)
 SELECT s1_idx, v_idx, source, round(x, 4) AS sim FROM j QUALIFY row_number() OVER (PARTITION BY s1_idx, source ORDER BY x DESC, v_idx) <= 5""",
 }

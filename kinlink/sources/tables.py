@@ -35,9 +35,11 @@ def need(df: DataFrame, columns: list[str], what: str) -> None:
 
 
 def numbered(df: DataFrame, name: str = "row_order") -> DataFrame:
-    """Rows with their place in the file."""
-    rdd = df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
-    return df.sparkSession.createDataFrame(rdd, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema)}, {name} long")
+    """Rows with their place in the table: the place in the task, and the rows of the tasks before it (one count a task)."""
+    here = df.withColumn("_at", F.monotonically_increasing_id()).withColumn("_task", F.shiftright("_at", 33))
+    counts = here.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_task", F.coalesce(F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return here.join(F.broadcast(before), "_task").select(*(F.col(f"`{c}`") for c in df.columns), (F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
 
 
 def project_source(raw: DataFrame, source: int, id_col: str, name_col: str, address_cols: list[str], address_join: str = ", ") -> DataFrame:
@@ -71,8 +73,11 @@ def repeated_pairs() -> Column:
 
 def load_source(spark: SparkSession, path: str, source: int, spec: dict[str, Any], quoting: str = "minimal", duplicates: str = "keep_first") -> tuple[DataFrame, dict]:
     """spec: id, name, address (list of columns), and address_join if it is not ', '."""
-    rows = project_source(numbered(read_tsv(spark, path, quoting)), source, spec["id"], spec["name"], spec.get("address", []), spec.get("address_join", ", "))
-    stats = source_stats(rows).first().asDict()
+    raw = read_tsv(spark, path, quoting)
+    rows = project_source(numbered(raw), source, spec["id"], spec["name"], spec.get("address", []), spec.get("address_join", ", "))
+    stats = source_stats(rows).first().asDict() | {"lost_rows": lost_rows(spark, path, raw)}
+    if stats["lost_rows"] > 0 and quoting == "minimal":
+        raise SchemaError(f"source {source}: {stats['lost_rows']} lines were swallowed by quotes; read it with quoting none")
     if stats["duplicate_ids"] and duplicates == "error":
         raise SchemaError(f"source {source}: {stats['duplicate_ids']} duplicate ids")
     kept = keep_first(rows.filter("id <> ''"))
@@ -84,6 +89,21 @@ def shared_ids(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select("id").intersect(b.select("id"))
 
 
+def load_sources(spark: SparkSession, specs: dict[int, dict[str, Any]], quoting: str = "minimal", overlap: str = "allow") -> tuple[dict[int, DataFrame], dict]:
+    """All sources and their statistics; ids that sources 2 and 3 share are counted, or an error if ``overlap`` says so."""
+    found = {k: load_source(spark, s["path"], k, s, quoting) for k, s in specs.items()}
+    rows, stats = {k: x[0] for k, x in found.items()}, {k: x[1] for k, x in found.items()}
+    shared = shared_ids(rows[2], rows[3]).count() if {2, 3} <= set(rows) else 0
+    if shared and overlap == "error":
+        raise SchemaError(f"sources 2 and 3 share {shared} ids")
+    return rows, {"sources": stats, "shared_ids": shared}
+
+
+def label_sizes(labels: DataFrame) -> DataFrame:
+    """size, n: how many entities have lists of each size."""
+    return labels.groupBy(F.size("all_ids").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def project_labels(raw: DataFrame, s1_id: str, match_columns: list[str], sep: str = ",") -> DataFrame:
     """s1_id, one list of ids for each match column, all_ids; rows of one id are united in file order (raw has row_order)."""
     need(raw, [s1_id, *match_columns], "labels")
@@ -108,10 +128,11 @@ def header(spark: SparkSession, path: str) -> list[str]:
     return read_tsv(spark, path).columns
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """One row a column: rows, share empty, distinct values, the three least examples."""
-    rows = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("value")) for c in df.columns))).alias("x")).select("x.*")
-    return rows.groupBy("column").agg(F.count(F.lit(1)).alias("n_rows"), F.avg((F.col("value") == "").cast("double")).alias("empty_share"), F.count_distinct(F.when(F.col("value") != "", F.col("value"))).alias("n_distinct"), F.min(F.when(F.col("value") != "", F.col("value"))).alias("example"))
+def profile(df: DataFrame, sep: str = ",") -> DataFrame:
+    """One row a column: rows, share empty, distinct values, the least value and the longest list in it."""
+    rows = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias("value")) for c in df.columns))).alias("x")).select("x.*")
+    some = F.when(F.col("value") != "", F.col("value"))
+    return rows.groupBy("column").agg(F.count(F.lit(1)).alias("n_rows"), F.avg((F.col("value") == "").cast("double")).alias("empty_share"), F.count_distinct(some).alias("n_distinct"), F.min(some).alias("example"), F.max(F.size(id_list(F.col("value"), sep))).cast("long").alias("longest_list"))
 
 
 def merged(base: dict, over: dict) -> dict:
