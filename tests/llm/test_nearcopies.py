@@ -63,3 +63,31 @@ def test_runs_of_added_text_and_shuffled_words(spark):
     kept = {x.doc_id for x in nearcopies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == shingle_brute(texts)
     assert all(i + 4 in kept for i in range(0, len(texts), 6))  # the same words in another order are another text
+
+
+def test_simhash_pairs_come_first_and_crowds_keep_their_links(spark, monkeypatch):
+    """The named operator fetches pairs; a crowd of copies less than 0.8 alike to each other makes few pairs and loses none that is."""
+    r, seen = random.Random(8), []
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    base, texts = [word() for _ in range(120)], []
+    for k in range(160):
+        t = list(base)
+        for _ in range(4 if k % 8 else 1):
+            t[r.randrange(len(t))] = word()
+        texts.append(" ".join(t))
+    links, stored = nearcopies.simhash.links, nearcopies.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(nearcopies.simhash, "links", lambda *a: seen.append(("links", 1)) or links(*a))
+    monkeypatch.setattr(nearcopies, "stored", counted)
+    rows = list(enumerate(texts))
+    kept = {x.doc_id for x in nearcopies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == shingle_brute(texts)
+    names = [n for n, _ in seen]
+    assert names.index("links") < names.index("near-bands") and dict(seen)["near-simhash"] > 0
+    likely = [n for name, n in seen if name == "near-likely"]
+    assert all(n <= len(texts) for n in likely[1:4])  # one leader for each class in a round
