@@ -9,8 +9,9 @@ space beside a space are encoded whole.
 
 Most chunks are letters with marks after them, or two such with a line end
 between.  Their pieces are known without the pattern (which costs more than the
-merges), so distinct words are encoded as pieces, many in one call.  All else
-is array work: nothing is done for each occurrence in Python.
+merges), so distinct words are encoded as pieces, many in one call, and kept for
+the batches to come, up to a number of words.  All else is array work: nothing
+is done for each occurrence in Python.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ TWO = f"^(?P<a>{LETTERS})(?P<b>{MARKS})\n(?P<c>{LETTERS})(?P<d>{MARKS})$"
 CALL, GROUP = 5000, 300_000
 #: Bytes of text that are taken at a time, which bounds the memory of a worker.
 BATCH = 16 << 20
+#: Words of each kind whose ids an encoder keeps (some 50 MB); those met later are encoded in each batch.
+WORDS = 1_000_000
 
 
 class Ragged:
@@ -82,6 +85,7 @@ class Encoder:
         for mark, name in ((" ", "Ġ"), ("\n", "Ċ")):
             self.starts[mark] = np.zeros(self.n_ids, dtype=bool)
             self.starts[mark][[i for x, i in vocabulary.items() if x.startswith(name)]] = True
+        self.known = {spaced: (pa.array([], pa.large_string()), Ragged.of([])) for spaced in (True, False)}
 
     @classmethod
     def in_worker(cls, source: str, batch_bytes: int = BATCH) -> Encoder:
@@ -101,7 +105,7 @@ class Encoder:
 
     def words(self, words: pa.Array, spaced: bool) -> Ragged:
         """Ids of words as pieces, with a space before each, or with none."""
-        words, calls = words.to_pylist(), []
+        words, calls = words.to_numpy(zero_copy_only=False).tolist(), []
         self.tokenizer.pre_tokenizer = self.by_piece  # the same merges without the pattern
         for k in range(0, len(words), CALL):
             cut = [" " + x for x in words[k : k + CALL]] if spaced else [y for x in words[k : k + CALL] for y in ("\n", x)]
@@ -110,6 +114,22 @@ class Encoder:
         out = self.parted(calls, " " if spaced else "\n", len(words))
         return out if spaced else Ragged(out.flat, out.size - 1, out.start + 1)
 
+    def remembered(self, words: pa.Array, spaced: bool) -> Ragged:
+        """``words`` of distinct words, of which those met in other batches are not encoded again."""
+        seen, ids = self.known[spaced]
+        words = words.cast(pa.large_string())
+        at = pc.index_in(words, value_set=seen)
+        new = at.is_null().to_numpy(zero_copy_only=False)
+        fresh = words.filter(pa.array(new))
+        made = self.words(fresh, spaced)
+        every = Ragged(np.concatenate([ids.flat, made.take(np.arange(len(fresh))).flat]), np.concatenate([ids.size, made.size]))
+        if more := min(len(fresh), WORDS - len(seen)):
+            n = len(seen) + more
+            self.known[spaced] = pa.concat_arrays([seen, fresh.slice(0, more)]), Ragged(every.flat[: every.size[:n].sum()].copy(), every.size[:n].copy())
+        place = at.fill_null(0).to_numpy().astype(np.int64)
+        place[new] = len(seen) + np.arange(len(fresh))
+        return every.take(place)
+
     def column(self, values: pa.Array, encode) -> Ragged:
         """Ids of each value, each distinct one encoded once."""
         d = values.dictionary_encode()
@@ -122,10 +142,10 @@ class Encoder:
             found = pc.extract_regex(rest, pattern)
             good = found.is_valid()
             here = found.filter(good)
-            take = [self.column(here.field(0), lambda x: self.words(x, True)), self.column(here.field(1), lambda x: self.whole(x.to_pylist()))]
+            take = [self.column(here.field(0), lambda x: self.remembered(x, True)), self.column(here.field(1), lambda x: self.whole(x.to_pylist()))]
             if pattern is TWO:
                 newline = self.whole(["\n"]).take(np.zeros(len(here), dtype=np.int64))
-                take += [newline, self.column(here.field(2), lambda x: self.words(x, False)), self.column(here.field(3), lambda x: self.whole(x.to_pylist()))]
+                take += [newline, self.column(here.field(2), lambda x: self.remembered(x, False)), self.column(here.field(3), lambda x: self.whole(x.to_pylist()))]
             lists.append(together(take))
             good = good.to_numpy(zero_copy_only=False)
             out_at.append(at[good])

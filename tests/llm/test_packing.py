@@ -30,6 +30,20 @@ def test_encoder_on_whole_documents():
     assert list(Encoder(open(PATH).read()).encode(texts)) == want
 
 
+def test_words_of_earlier_batches_are_not_encoded_again(monkeypatch):
+    encode = Tokenizer.from_file(PATH).encode
+    batches = [["one two, three\nfour two", "x two five"], ["x two five, three\nfour six", "y seven"], ["y six seven two\nfour"]]
+    for most in (1_000_000, 1):
+        monkeypatch.setattr("kinlink.llm.encode.WORDS", most)
+        encoder, met = Encoder(open(PATH).read()), []
+        of = encoder.words
+        encoder.words = lambda words, spaced: met.extend((x, spaced) for x in words.to_pylist()) or of(words, spaced)  # noqa: B023
+        for texts in batches:
+            got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(pa.array(texts))]
+            assert got == [encode(x, add_special_tokens=False).ids for x in texts]
+        assert most == 1 or sorted(met) == sorted(set(met))
+
+
 def test_cutting_stock_is_near_the_bound():
     r = random.Random(1)
     for sizes in ([r.randint(1, 64) for _ in range(3000)], [33] * 500, [64], [1] * 10, [21, 43] * 300):
